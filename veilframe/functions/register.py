@@ -27,9 +27,11 @@ def register_redact(spark: SparkSession, lexicon: NameLexicon, name: str = "reda
     """
     if lexicon.variable is None:
         raise ValueError("this dictionary is too large for a SQL function")
+    # Each step is a function over the one before: written as one nested call, the
+    # analyzer would resolve the inner calls again at every level.
     call = f"{name}_patterns(txt)"
     _create(spark, f"{name}_patterns", redact_patterns_sql("txt", FULL))
     for step_name, step in name_steps(lexicon.variable):
-        _create(spark, f"{name}_{step_name}", step("txt"))
-        call = f"{name}_{step_name}({call})"
+        _create(spark, f"{name}_{step_name}", step(call))
+        call = f"{name}_{step_name}(txt)"
     _create(spark, name, call)

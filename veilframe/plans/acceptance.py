@@ -11,7 +11,7 @@ SPARK: dict[str, str] = {
     "sql_avg": "SELECT round(avg(l_extendedprice), 4) AS avg_price FROM lineitem",
     "sql_project": """
         SELECT l_orderkey, l_linenumber, l_partkey,
-               round(l_extendedprice * (1 - l_discount), 2) AS disc_price,
+               round(l_extendedprice * (1 - l_discount), 4) AS disc_price,
                CASE WHEN l_quantity >= 25 THEN 'big' ELSE 'small' END AS size_class,
                cast(l_quantity AS int) AS quantity
         FROM lineitem""",

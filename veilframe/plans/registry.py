@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial
 
@@ -32,20 +33,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def parquet_queries(spark: SparkSession, sf_dir: str) -> queries.ParquetQueries:
-    return queries.ParquetQueries(spark, {name: f"{sf_dir}/{name}.parquet" for name in TABLES})
+def parquet_queries(spark: SparkSession, sf_dir: str, sql: str | None = None) -> queries.ParquetQueries:
+    """The tables of a directory; given a query, only those it names."""
+    names = [t for t in TABLES if sql is None or re.search(rf"\b{t}\b", sql)]
+    return queries.ParquetQueries(spark, {name: f"{sf_dir}/{name}.parquet" for name in names})
 
 
 # --- SQL over Parquet, catalog, results ---------------------------------------
 
 
 def run_sql(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return parquet_queries(spark, sf_dir).query(acceptance.SPARK[name])
+    sql = acceptance.SPARK[name]
+    return parquet_queries(spark, sf_dir, sql).query(sql)
 
 
 def sql_max_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = "SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2 ORDER BY n DESC, event_type, user_id"
-    return parquet_queries(spark, sf_dir).query(sql + "; ", max_rows=20)
+    return parquet_queries(spark, sf_dir, sql).query(sql + "; ", max_rows=20)
 
 
 def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +58,7 @@ def list_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return parquet_queries(spark, sf_dir).schema(name)
+    return parquet_queries(spark, sf_dir, name).schema(name)
 
 
 def records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +66,7 @@ def records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT c_custkey, c_name, c_acctbal, n_orders FROM customer
         LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) o
           ON o_custkey = c_custkey"""
-    return queries.records(parquet_queries(spark, sf_dir).query(sql))
+    return queries.records(parquet_queries(spark, sf_dir, sql).query(sql))
 
 
 def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +148,7 @@ def redact_core_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules over the documents; the dictionary is the capitalised words of the short ones' first letters."""
+    """All rules over the documents, with a dictionary made from their own words."""
     documents = table(spark, sf_dir, "documents")
     lexicon = NameLexicon(document_words(documents))
     result = redact(spread(documents.select("doc_id", "text")), "text", lexicon)
@@ -214,7 +218,7 @@ def nth_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A knowledge base made from the keys of parts and customers."""
+    """A knowledge base made from the keys of parts and customers, as a table by predicate."""
     letters = "translate(lpad(cast({0} AS string), 9, '0'), '0123456789', 'abdefgiklm')"
     customer = table(spark, sf_dir, "customer").selectExpr(
         "concat('C', c_custkey) AS id",
@@ -239,7 +243,9 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = facts[0]
     for more in facts[1:]:
         result = result.union(more)
-    return result
+    path = scratch_path(spark, "triples")
+    result.write.partitionBy("p").parquet(path)
+    return spark.read.schema("s string, o string, lang string, p string").parquet(path)
 
 
 def dictionary_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
@@ -261,7 +267,7 @@ def word_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def list_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     given, surnames, _, ambiguous = dictionary_parts(spark, sf_dir)
-    stop = table(spark, sf_dir, "region").selectExpr("initcap(r_name) AS word")
+    stop = table(spark, sf_dir, "region").selectExpr("upper(left(r_name, 1)) || lower(substr(r_name, 2)) AS word")
     return dictionaries.merge_lists(given, surnames, ambiguous, stop)
 
 
@@ -283,7 +289,9 @@ def word_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = table(spark, sf_dir, "part").selectExpr(
         "concat(if(p_partkey % 3 = 0, '  ', ''), '\"', p_name, '\"', if(p_partkey % 4 = 0, ' ', '')) AS `?s`"
     )
-    cells.union(cells.limit(1).selectExpr("'   '")).write.options(header="true", sep="\t", quote="", escape="").csv(path)
+    options = {"header": "true", "sep": "\t", "quote": "", "escape": "", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false"}
+    cells.union(table(spark, sf_dir, "region").selectExpr("'   '")).write.options(**options).csv(path)
     return words.read_word_column(spark, path)
 
 
@@ -461,8 +469,7 @@ def all_oracles() -> dict[str, str]:
                bool_or(l = 4) AS is_stop
         FROM (SELECT word, 1 AS l FROM ({given}) UNION ALL SELECT word, 2 FROM ({surnames})
               UNION ALL SELECT word, 3 FROM ({ambiguous})
-              UNION ALL SELECT upper(r_name[1]) || lower(r_name[2:]), 4 FROM (SELECT replace(r_name, ' ', ' ') AS r_name FROM region WHERE r_name NOT LIKE '% %')
-              UNION ALL SELECT 'Middle East', 4 FROM region WHERE r_name = 'MIDDLE EAST') GROUP BY word"""
+              UNION ALL SELECT upper(left(r_name, 1)) || lower(substr(r_name, 2)), 4 FROM region) GROUP BY word"""
     found |= {
         "score": f"SELECT count(*) FILTER (redacted = target) AS matches, count(*) AS n_rows FROM {pairs}",
         "mismatches": f"SELECT row_id, source, target, redacted FROM {pairs} WHERE redacted <> target",
