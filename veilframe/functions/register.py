@@ -6,12 +6,13 @@ from pyspark.sql import SparkSession
 
 from veilframe.functions.rules import CORE, FULL
 from veilframe.operators.lexicon import NameLexicon
-from veilframe.operators.names import name_steps
+from veilframe.operators.lookup import needed_words
+from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 from veilframe.operators.redaction import redact_patterns_sql
 
 
-def _create(spark: SparkSession, name: str, body: str) -> None:
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(txt STRING) RETURNS STRING RETURN {body}")
+def _create(spark: SparkSession, name: str, body: str, params: str = "txt STRING", returns: str = "STRING") -> None:
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {returns} RETURN {body}")
 
 
 def register_redact_core(spark: SparkSession, name: str = "redact_core") -> None:
@@ -27,11 +28,14 @@ def register_redact(spark: SparkSession, lexicon: NameLexicon, name: str = "reda
     """
     if lexicon.variable is None:
         raise ValueError("this dictionary is too large for a SQL function")
+    _create(spark, f"{name}_patterns", redact_patterns_sql("txt", FULL))
+    _create(spark, f"{name}_titles", before_lookup(f"{name}_patterns(txt)"))
+    _create(spark, f"{name}_lexicon", needed_words("txt", lexicon.variable), returns="ARRAY<STRING>")
     # Each step is a function over the one before: written as one nested call, the
     # analyzer would resolve the inner calls again at every level.
-    call = f"{name}_patterns(txt)"
-    _create(spark, f"{name}_patterns", redact_patterns_sql("txt", FULL))
-    for step_name, step in name_steps(lexicon.variable):
-        _create(spark, f"{name}_{step_name}", step(call))
-        call = f"{name}_{step_name}(txt)"
-    _create(spark, name, call)
+    call = "txt"
+    for rule_id, step in lookup_steps("lex"):
+        _create(spark, f"{name}_{rule_id}", step(call), params="txt STRING, lex ARRAY<STRING>")
+        call = f"{name}_{rule_id}(txt, lex)"
+    _create(spark, f"{name}_names", after_lookup(call.replace("lex)", f"{name}_lexicon(txt))")))
+    _create(spark, name, f"{name}_names({name}_titles(txt))")

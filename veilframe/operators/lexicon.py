@@ -1,14 +1,13 @@
 """Name dictionaries and how a row reaches them.
 
 A dictionary is a table ``name_words(word, is_given, is_surname, is_ambiguous,
-is_stop)``.  The name rules look words up in a hash table that is a plain Spark
-value: an array of buckets, each an array of ``struct<word, flags>``.
+is_stop)``.  Before the name rules run, each row gets the part of it that its text
+needs, as a small look-up table (see ``operators.lookup``).
 
 * A dictionary whose measured size stays below ``MAX_SHARED_BYTES`` is published
-  as a session variable.  Spark ships it with the tasks, every look-up stays
-  inside the row, and the text is not shuffled.
-* A larger one stays distributed.  The distinct candidate words of each text are
-  joined with it, and each row gets the part of the dictionary it needs.
+  as a session variable.  Spark ships it with the tasks, and the row picks its
+  words from it; the text is not shuffled.
+* A larger one stays distributed and is joined with the distinct words of each text.
 
 Both give the same result, since look-ups are by word.
 """
@@ -17,19 +16,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.functions import name_patterns as P
+from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, needed_words, row_table
 
 MAX_SHARED_BYTES = 64 * 1024 * 1024
-# what a word costs besides its own bytes: struct, offsets, flags, share of a bucket
-WORD_OVERHEAD = 48
-ROW_BUCKETS = 64
+WORDS_PER_BUCKET = 4
+# what a word costs besides its own bytes: marks, flag, its share of a bucket
+WORD_OVERHEAD = 16
 SALTS = 16
 
 FLAG_COLUMNS = {"is_given": 1, "is_surname": 2, "is_ambiguous": 4, "is_stop": 8}
-BUCKETS_TYPE = "ARRAY<ARRAY<STRUCT<word: STRING, flags: INT>>>"
 
 
 def word_flags(name_words: DataFrame) -> DataFrame:
@@ -38,7 +36,8 @@ def word_flags(name_words: DataFrame) -> DataFrame:
         (F.when(F.col(name), F.lit(bit)).otherwise(F.lit(0)) for name, bit in FLAG_COLUMNS.items()), F.lit(0)
     )
     return (
-        name_words.filter(F.col("word").isNotNull())
+        # a word that holds a mark of the look-up table can never be offered
+        name_words.filter(~F.rlike("word", F.lit(f"[{EDGE}{MID}]")))
         .select("word", total.alias("flags"))
         .groupBy("word")
         .agg(F.bit_or("flags").cast("int").alias("flags"))
@@ -60,19 +59,19 @@ class NameLexicon:
 
     def _publish(self) -> str:
         name = f"veil_lexicon_{uuid.uuid4().hex}"
-        n_buckets = max(16, self.n_words // 2)
+        n_buckets = max(16, self.n_words // WORDS_PER_BUCKET)
+        bucket, digit = f"pmod(xxhash64(word), {n_buckets})", f"substr('{FLAG_DIGITS}', flags + 1, 1)"
         self.flags.createOrReplaceTempView(name + "_words")
-        self.spark.sql(f"DECLARE OR REPLACE VARIABLE {name} {BUCKETS_TYPE}")
+        self.spark.sql(f"DECLARE OR REPLACE VARIABLE {name} ARRAY<STRING>")
         self.spark.sql(
             f"""
             SET VAR {name} = (
-              SELECT transform(array_sort(collect_list(struct(b.id, w.entries))),
-                               x -> coalesce(x.entries, cast(array() AS {BUCKETS_TYPE[6:-1]})))
-              FROM range(0, {n_buckets}, 1, 8) b
+              SELECT transform(array_sort(collect_list(struct(slots.id AS id, entries))), b -> coalesce(b.entries, '{EDGE}'))
+              FROM range(0, {n_buckets}, 1, 8) slots
               LEFT JOIN (
-                SELECT pmod(xxhash64(word), {n_buckets}) AS bucket, collect_list(struct(word, flags)) AS entries
-                FROM {name}_words GROUP BY pmod(xxhash64(word), {n_buckets})
-              ) w ON b.id = w.bucket
+                SELECT {bucket} AS bucket, array_join(collect_list({entry("word", digit)}), '') AS entries
+                FROM {name}_words GROUP BY {bucket}
+              ) filled ON slots.id = filled.bucket
             )
             """
         )
@@ -80,42 +79,39 @@ class NameLexicon:
         return name
 
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
-        """Add column ``name``: the part of the dictionary the text in ``column`` needs.
+        """Add column ``name``: the look-up table the text in ``column`` needs."""
+        if self.variable:
+            return df.withColumn(name, F.expr(needed_words(f"`{column}`", self.variable)))
+        return self._attach_joined(df, column, name)
 
-        Keyed by a hash of the text.  Texts that share a hash share a superset of
-        what each needs, which changes no look-up.  Words are made distinct per text
-        before the first shuffle; hot words and hot texts are spread over salts.
+    def _attach_joined(self, df: DataFrame, column: str, name: str) -> DataFrame:
+        """The same by a join, keyed by a hash of the text.
+
+        Texts that share a hash share a superset of what each needs, which changes no
+        look-up.  Words are made distinct per text before the first shuffle; hot words
+        and hot texts are spread over salts.
         """
         key, salt = F.xxhash64(column), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
-        candidates = F.regexp_extract_all(F.col(column), F.lit(f"(?U)({P.WORD})"), F.lit(1))
-        with_parts = F.array_union(candidates, F.flatten(F.transform(candidates, lambda w: F.split(w, "-"))))
         pairs = (
-            df.select(key.alias("k"), F.explode(with_parts).alias("word"))
+            df.select(key.alias("k"), F.explode(F.expr(candidate_words(f"`{column}`"))).alias("word"))
             .distinct()
             .withColumn("salt", F.pmod("k", F.lit(SALTS)))
         )
+        digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
+        hit = F.struct(F.xxhash64("word").alias("h"), F.expr(entry("word", digit)).alias("e"))
         needed = (
             pairs.join(_salted(self.flags), ["word", "salt"])
             .groupBy("k")
-            .agg(F.collect_list(F.struct("word", "flags")).alias("entries"))
-            .select("k", _bucketed(F.col("entries")).alias(name))
+            .agg(F.collect_list(hit).alias("found"))
+            .select(F.col("k").alias("__k"), F.expr(row_table("found")).alias(name))
         )
-        keyed = df.withColumn("__k", key).withColumn("__salt", salt)
-        needed = _salted(needed).withColumnsRenamed({"k": "__k", "salt": "__salt"})
-        empty = F.expr(f"cast(array(array()) AS {BUCKETS_TYPE})")
+        keyed = df.withColumn("__k", key).withColumn("salt", salt)
         return (
-            keyed.join(needed, ["__k", "__salt"], "left")
-            .withColumn(name, F.coalesce(name, empty))
-            .drop("__k", "__salt")
+            keyed.join(_salted(needed), ["__k", "salt"], "left")
+            .withColumn(name, F.coalesce(name, F.array(F.lit(EDGE))))
+            .drop("__k", "salt")
         )
 
 
 def _salted(df: DataFrame) -> DataFrame:
     return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
-
-
-def _bucketed(entries: Column) -> Column:
-    slots = F.sequence(F.lit(0), F.lit(ROW_BUCKETS - 1))
-    return F.transform(
-        slots, lambda b: F.filter(entries, lambda e: F.pmod(F.xxhash64(e["word"]), F.lit(ROW_BUCKETS)) == b)
-    )

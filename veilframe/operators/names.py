@@ -13,9 +13,8 @@ its sequence, which ``regexp_replace`` alone cannot say.  Each rule is therefore
 5. **join** the elements again.
 
 A rule reads the text of the one before exactly once, so the chain stays linear,
-runs in the JVM and shuffles nothing.  The dictionary is an expression: either a
-session variable holding the whole (size-checked) dictionary, or a column with
-the part of it the row needs (see ``operators.lexicon``).
+runs in the JVM and shuffles nothing.  The part of the dictionary a row needs is a
+column (see ``operators.lexicon``).
 """
 
 from __future__ import annotations
@@ -27,9 +26,8 @@ from typing import NamedTuple
 from veilframe.functions import name_patterns as P
 from veilframe.functions.regexes import exact_fold
 from veilframe.functions.sqltext import bind, literal
+from veilframe.operators.lookup import EDGE, ESCAPE, FLAG_DIGITS, MID, flag, flag_number
 
-# Marks are Unicode noncharacters; texts that hold them are escaped first.
-EDGE, MID, ESCAPE = "\ufdd0", "\ufdd1", "\ufdd2"
 _ESCAPED = {ESCAPE: ESCAPE + "\ufdd5", EDGE: ESCAPE + "\ufdd3", MID: ESCAPE + "\ufdd4"}
 
 # One letter per word.  The index is the flag sum of the dictionary: 1 given name,
@@ -173,24 +171,18 @@ NAME_RULES: tuple[NameRule, ...] = (
 )
 
 
-def _flags(word: str, lexicon: str) -> str:
-    """Flag sum of a word: its dictionary bucket, then the entry in the bucket."""
-    bucket = f"get({lexicon}, cast(pmod(xxhash64({word}), size({lexicon})) AS INT))"
-    return f"coalesce(get(filter({bucket}, e -> e.word = {word}), 0).flags, 0)"
-
-
-def _code(lexicon: str) -> str:
+def _code(table: str) -> str:
     """The code of ``words``.  A hyphenated word also counts as listed where all of
     its parts are, and as ambiguous where any part is."""
-    parts = f"transform(split(w, '-'), part -> {_flags('part', lexicon)})"
-    hyphenated = bind(
-        parts,
-        "f",
-        f"{_flags('w', lexicon)} | aggregate(f, 3, (a, v) -> a & v) | (aggregate(f, 0, (a, v) -> a | v) & 4)",
-    )
-    flags = f"if(instr(w, '-') = 0, {_flags('w', lexicon)}, {hyphenated})"
+    parts = f"transform(split(w, '-'), t -> {flag_number(flag(table, 't'))})"
+    whole = flag_number(flag(table, "w"))
+    combined = f"{whole} | aggregate(f, 3, (a, v) -> a & v) | (aggregate(f, 0, (a, v) -> a | v) & 4)"
+    hyphenated = bind(parts, "f", f"substr('{CODES}', ({combined}) + 1, 1)")
     particles = ", ".join(literal(p) for p in P.PARTICLE_WORDS)
-    letter = f"if(w IN ({particles}), 'p', substr('{CODES}', {flags} + 1, 1))"
+    letter = (
+        f"CASE WHEN w IN ({particles}) THEN 'p' WHEN instr(w, '-') = 0 "
+        f"THEN translate({flag(table, 'w')}, '{FLAG_DIGITS}{EDGE}', '{CODES}x') ELSE {hyphenated} END"
+    )
     return f"array_join(transform(words, w -> {letter}), '')"
 
 
@@ -215,10 +207,10 @@ def _tokens(rule: NameRule) -> str:
     return bind("replace(taken, 'p', '')", "names", labelled)
 
 
-def _rewrite(rule: NameRule, lexicon: str) -> str:
+def _rewrite(rule: NameRule, table: str) -> str:
     """The new text of one offered part ``x``."""
     labelled = bind(rule.taken, "taken", f"if(taken = '', lead || seq, {_tokens(rule)})")
-    labelled = bind("split(seq, ' ')", "words", bind(_code(lexicon), "code", labelled))
+    labelled = bind("split(seq, ' ')", "words", bind(_code(table), "code", labelled))
     if rule.rule_id == "N10":
         labelled = f"if(rlike(seq, {_TITLES_ONLY}), lead || {_AS_TITLES.format('seq')}, {labelled})"
     return labelled
@@ -236,7 +228,7 @@ def _apply(marked: str, rewrite: str) -> str:
     return bind(marked, "m", f"if(contains(m, '{EDGE}'), {joined}, m)")
 
 
-def _rule_sql(text: str, rule: NameRule, lexicon: str) -> str:
+def _rule_sql(text: str, rule: NameRule, table: str) -> str:
     marked = _marked(text, rule.pattern, rule.first, f"{EDGE}{rule.lead}{MID}{rule.words}{EDGE}")
     if rule.value_end:
         # Tested after the match is made, so that a failed test cannot shorten the
@@ -245,7 +237,7 @@ def _rule_sql(text: str, rule: NameRule, lexicon: str) -> str:
         end = rf"(?![ \t]*{EDGE}?{P.VALUE_END})|(?=[ \t]*{EDGE}?{P.KEY_END})"
         refused = rf"{EDGE}([^{EDGE}{MID}]*){MID}([^{EDGE}]*){EDGE}(?:{end})"
         marked = f"regexp_replace({marked}, {literal(refused)}, '$1$2')"
-    return _apply(marked, _rewrite(rule, lexicon))
+    return _apply(marked, _rewrite(rule, table))
 
 
 def _title_field_sql(text: str) -> str:
@@ -256,19 +248,20 @@ def _title_field_sql(text: str) -> str:
     return _apply(marked, f"if({page}, lead || seq, lead || {_AS_TITLES.format('seq')})")
 
 
-def name_steps(lexicon: str) -> list[tuple[str, Callable[[str], str]]]:
-    """The name rules in order, as (step name, text to rewritten text) in SQL.
+def before_lookup(text: str) -> str:
+    """Escape the marks and run the one rule without look-ups."""
+    return _title_field_sql(reduce(lambda sql, p: f"replace({sql}, '{p[0]}', '{p[1]}')", _ESCAPED.items(), text))
+
+
+def lookup_steps(table: str) -> list[tuple[str, Callable[[str], str]]]:
+    """The rules with look-ups, in order, as (rule, text to rewritten text) in SQL.
 
     One step per projection: nested in one another they would need more analyzer
     rounds than Spark allows.  The optimizer merges them into one projection again.
     """
+    return [(rule.rule_id, lambda text, rule=rule: _rule_sql(text, rule, table)) for rule in NAME_RULES]
 
-    def escape(text: str) -> str:
-        return reduce(lambda sql, pair: f"replace({sql}, '{pair[0]}', '{pair[1]}')", _ESCAPED.items(), text)
-
-    def unescape(text: str) -> str:
-        pairs = reversed(_ESCAPED.items())
-        return reduce(lambda sql, pair: f"replace({sql}, '{pair[1]}', '{pair[0]}')", pairs, text)
 
-    rules = [(rule.rule_id, lambda text, rule=rule: _rule_sql(text, rule, lexicon)) for rule in NAME_RULES]
-    return [("escape", escape), ("N1", _title_field_sql), *rules, ("unescape", unescape)]
+def after_lookup(text: str) -> str:
+    """Undo the escapes."""
+    return reduce(lambda sql, p: f"replace({sql}, '{p[1]}', '{p[0]}')", reversed(_ESCAPED.items()), text)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from veilframe.functions.rules import CORE, FULL, NEEDS, Rule, java_pattern, select_rules
 from veilframe.functions.sqltext import literal
 from veilframe.operators.lexicon import NameLexicon
-from veilframe.operators.names import name_steps
+from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 
 
 def _branches(rules: list[Rule]) -> list[tuple[str | None, list[Rule]]]:
@@ -76,9 +76,9 @@ def redact(
 
 def redact_names(df: DataFrame, column: str, lexicon: NameLexicon, output: str = "redacted") -> DataFrame:
     """Add ``output``: the text of ``column`` after the name and title rules alone."""
-    words = lexicon.variable or "__lexicon"
-    result = df if lexicon.variable else lexicon.attach(df, column, words)
-    result = result.withColumn(output, F.col(column))
-    for _, step in name_steps(words):
+    table = f"__{output}_lexicon"
+    result = df.withColumn(output, F.expr(before_lookup(f"`{column}`")))
+    result = lexicon.attach(result, output, table)
+    for _, step in lookup_steps(table):
         result = result.withColumn(output, F.expr(step(f"`{output}`")))
-    return result if lexicon.variable else result.drop(words)
+    return result.withColumn(output, F.expr(after_lookup(f"`{output}`"))).drop(table)
