@@ -25,7 +25,13 @@ MAX_SHARED_BYTES = 64 * 1024 * 1024
 WORDS_PER_BUCKET = 4
 # what a word costs besides its own bytes: marks, flag, its share of a bucket
 WORD_OVERHEAD = 16
-SALTS = 16
+# The joined dictionary is spread over so many salts, so a word that occurs in every
+# text does not end up in one task.
+WORD_SALTS = 8
+# A text with this many copies is spread over salts in the join that brings its words
+# back.  There are at most rows / HOT_COPIES such texts, two numbers each, which bounds
+# the broadcast of their hashes (16 MB for 10^12 rows).
+HOT_COPIES = 1_000_000
 
 FLAG_COLUMNS = {"is_given": 1, "is_surname": 2, "is_ambiguous": 4, "is_stop": 8}
 
@@ -47,7 +53,10 @@ def word_flags(name_words: DataFrame) -> DataFrame:
 class NameLexicon:
     """A name dictionary, shared as a value when it is small enough."""
 
-    def __init__(self, name_words: DataFrame, max_shared_bytes: int = MAX_SHARED_BYTES):
+    def __init__(
+        self, name_words: DataFrame, max_shared_bytes: int = MAX_SHARED_BYTES, hot_copies: int = HOT_COPIES
+    ):
+        self.hot_copies = hot_copies
         self.spark: SparkSession = name_words.sparkSession
         self.flags = word_flags(name_words)
         size = self.flags.agg(
@@ -88,30 +97,40 @@ class NameLexicon:
         """The same by a join, keyed by a hash of the text.
 
         Texts that share a hash share a superset of what each needs, which changes no
-        look-up.  Words are made distinct per text before the first shuffle; hot words
-        and hot texts are spread over salts.
+        look-up.  Equal pairs of text and word are counted before the first shuffle;
+        the count tells which texts have many copies, and only those are salted.
         """
-        key, salt = F.xxhash64(column), F.pmod(F.xxhash64(*df.columns), F.lit(SALTS))
+        word_salts = F.sequence(F.lit(0), F.lit(WORD_SALTS - 1))
         pairs = (
-            df.select(key.alias("k"), F.explode(F.expr(candidate_words(f"`{column}`"))).alias("word"))
-            .distinct()
-            .withColumn("salt", F.pmod("k", F.lit(SALTS)))
+            df.select(F.xxhash64(column).alias("k"), F.explode(F.expr(candidate_words(f"`{column}`"))).alias("word"))
+            .groupBy("k", "word")
+            .agg(F.count("*").alias("copies"))
+            .withColumn("salt", F.pmod("k", F.lit(WORD_SALTS)).cast("int"))
         )
         digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
         hit = F.struct(F.xxhash64("word").alias("h"), F.expr(entry("word", digit)).alias("e"))
         needed = (
-            pairs.join(_salted(self.flags), ["word", "salt"])
+            pairs.join(self.flags.withColumn("salt", F.explode(word_salts)), ["word", "salt"])
             .groupBy("k")
-            .agg(F.collect_list(hit).alias("found"))
-            .select(F.col("k").alias("__k"), F.expr(row_table("found")).alias(name))
+            .agg(F.collect_list(hit).alias("found"), F.max("copies").alias("copies"))
+            .select(
+                F.col("k").alias("__k"),
+                (F.lit(1) + F.floor(F.col("copies") / self.hot_copies)).cast("int").alias("__salts"),
+                F.expr(row_table("found")).alias(name),
+            )
+        )
+        hot = needed.filter(F.col("__salts") > 1).select("__k", "__salts")
+        spread_by = F.xxhash64(*df.columns) + F.spark_partition_id()
+        keyed = (
+            df.withColumn("__k", F.xxhash64(column))
+            .withColumn("__by", spread_by)
+            .join(F.broadcast(hot), "__k", "left")
+            .withColumn("__salt", F.pmod("__by", F.coalesce("__salts", F.lit(1))).cast("int"))
+            .drop("__salts", "__by")
         )
-        keyed = df.withColumn("__k", key).withColumn("salt", salt)
+        salted = needed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
         return (
-            keyed.join(_salted(needed), ["__k", "salt"], "left")
+            keyed.join(salted, ["__k", "__salt"], "left")
             .withColumn(name, F.coalesce(name, F.array(F.lit(EDGE))))
-            .drop("__k", "salt")
+            .drop("__k", "__salt")
         )
-
-
-def _salted(df: DataFrame) -> DataFrame:
-    return df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))

@@ -120,7 +120,7 @@ def profile_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = texts.select(
         "o_orderkey", redact_core(F.col("text")).alias("core"), redact_patterns(F.col("text")).alias("full")
     )
-    return both.filter(F.col("core") != F.col("full"))
+    return scoring.keep_rows(both, lambda row: row["core"] != row["full"])
 
 
 def redact_by_name_rules(spark: SparkSession, sf_dir: str, group: str, **limits: int) -> DataFrame:
@@ -367,7 +367,7 @@ def all_queries() -> dict[str, Query]:
     found |= {
         "name_rules_joined_dictionary": partial(redact_by_name_rules, group="name_runs", max_shared_bytes=0),
         "redact_full": redact_full,
-        "redact_full_joined_dictionary": partial(redact_full, max_shared_bytes=0),
+        "redact_full_joined_dictionary": partial(redact_full, max_shared_bytes=0, hot_copies=2),
         "redact_full_sql": redact_full_sql,
         "redact_stream": redact_stream,
         "documents_with_names": documents_with_names,
