@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilframe.functions.sqltext import evaluated_once
 from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, needed_words, row_table
 
 MAX_SHARED_BYTES = 64 * 1024 * 1024
@@ -90,7 +91,7 @@ class NameLexicon:
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
         """Add column ``name``: the look-up table the text in ``column`` needs."""
         if self.variable:
-            return df.withColumn(name, F.expr(needed_words(f"`{column}`", self.variable)))
+            return evaluated_once(df, F.expr(needed_words(f"`{column}`", self.variable)), name)
         return self._attach_joined(df, column, name)
 
     def _attach_joined(self, df: DataFrame, column: str, name: str) -> DataFrame:

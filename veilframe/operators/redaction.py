@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions.rules import CORE, FULL, NEEDS, Rule, java_pattern, select_rules
-from veilframe.functions.sqltext import literal
+from veilframe.functions.sqltext import evaluated_once, literal
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 
@@ -81,4 +81,6 @@ def redact_names(df: DataFrame, column: str, lexicon: NameLexicon, output: str =
     result = lexicon.attach(result, output, table)
     for _, step in lookup_steps(table):
         result = result.withColumn(output, F.expr(step(f"`{output}`")))
-    return result.withColumn(output, F.expr(after_lookup(f"`{output}`"))).drop(table)
+    final = F.expr(after_lookup(f"`{output}`"))
+    kept = [f"`{c}`" for c in df.columns if c != output]
+    return evaluated_once(result, final, output, kept)
