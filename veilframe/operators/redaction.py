@@ -67,11 +67,14 @@ def redact_patterns_sql(text: str, profile: str = FULL) -> str:
 
 
 def redact(
-    df: DataFrame, column: str, lexicon: NameLexicon, output: str = "redacted", profile: str = FULL
+    df: DataFrame, column: str, lexicon: NameLexicon | None = None, output: str = "redacted", profile: str = FULL
 ) -> DataFrame:
-    """Add ``output``: the text of ``column`` after the pattern rules and the name rules."""
+    """Add ``output``: the text of ``column`` after the pattern rules and, with a dictionary, the name rules."""
+    patterns = redact_patterns(F.col(f"`{column}`"), profile)
+    if lexicon is None:
+        return evaluated_once(df, patterns, output, [f"`{c}`" for c in df.columns if c != output])
     text = f"__{output}_patterns"
-    return redact_names(df.withColumn(text, redact_patterns(F.col(column), profile)), text, lexicon, output).drop(text)
+    return redact_names(df.withColumn(text, patterns), text, lexicon, output).drop(text)
 
 
 def redact_names(df: DataFrame, column: str, lexicon: NameLexicon, output: str = "redacted") -> DataFrame:

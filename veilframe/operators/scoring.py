@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,18 +11,12 @@ def project_pairs(corpus: DataFrame) -> DataFrame:
     return corpus.select(F.col("source_text").alias("source"), F.col("target_text").alias("target"))
 
 
-def keep_rows(df: DataFrame, keep: Callable[[Column], Column]) -> DataFrame:
-    """The rows for which ``keep`` holds, every column evaluated once.
+def flag_matches(df: DataFrame, redacted: str = "redacted", target: str = "target") -> DataFrame:
+    """Add ``match``: the redacted text equals the target exactly.
 
-    A filter on a computed text would be pushed below the projection that computes
-    it, even below a repartition, and the rule chain would run a second time there.
-    A generator stays where it is.
+    ``redacted`` should come from ``operators.redaction.redact``, whose output later
+    filters do not compute again.
     """
-    return df.select(F.inline(F.filter(F.array(F.struct("*")), keep)))
-
-
-def flag_matches(df: DataFrame, redacted: str = "redacted", target: str = "target") -> DataFrame:
-    """Add ``match``: the redacted text equals the target exactly."""
     return df.withColumn("match", F.col(redacted) == F.col(target))
 
 
@@ -35,8 +27,7 @@ def score(flagged: DataFrame) -> DataFrame:
 
 def mismatches(flagged: DataFrame, *extra: str) -> DataFrame:
     """The rows that do not match."""
-    wanted = flagged.select(*extra, "source", "target", "redacted", "match")
-    return keep_rows(wanted, lambda row: ~row["match"]).drop("match")
+    return flagged.filter(~F.col("match")).select(*extra, "source", "target", "redacted")
 
 
 def nth_record(df: DataFrame, order_by: str, n: int) -> DataFrame:

@@ -117,10 +117,8 @@ def changed_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def profile_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where the two profiles differ: dates without a year."""
     texts = orders_texts(spark, sf_dir, templates.FAMILIES["DATE"])
-    both = texts.select(
-        "o_orderkey", redact_core(F.col("text")).alias("core"), redact_patterns(F.col("text")).alias("full")
-    )
-    return scoring.keep_rows(both, lambda row: row["core"] != row["full"])
+    both = redact(redact(texts, "text", output="core", profile=CORE), "text", output="full")
+    return both.filter(F.col("core") != F.col("full")).select("o_orderkey", "core", "full")
 
 
 def redact_by_name_rules(spark: SparkSession, sf_dir: str, group: str, **limits: int) -> DataFrame:
@@ -191,7 +189,7 @@ def raw_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagged_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = raw_corpus(spark, sf_dir).select("row_id", *[f"{c}_text" for c in ("source", "target")])
     named = pairs.withColumnsRenamed({"source_text": "source", "target_text": "target"})
-    return scoring.flag_matches(named.withColumn("redacted", redact_patterns(F.col("source"))))
+    return scoring.flag_matches(redact(named, "source"))
 
 
 def score(spark: SparkSession, sf_dir: str) -> DataFrame:
