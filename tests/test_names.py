@@ -10,6 +10,7 @@ from veilframe.functions.register import register_redact, register_redact_core
 from veilframe.operators import lookup
 from veilframe.operators.lexicon import NameLexicon, word_flags
 from veilframe.operators.redaction import redact, redact_names
+from veilframe.plans.registry import document_words
 
 CASES = [
     ("Herr Schmidt kam", "[TITLE] [LASTNAME1] kam"),
@@ -58,7 +59,7 @@ CASES = [
 
 PIECES = [
     "Anna", "Maria", "Anne-Sophie", "Anne-Haus", "Schmidt", "Royer", "Peter", "Haus", "Plan", "Rose", "Berg", "Der",
-    "Jo", "Li", "Xyz", "Zug-Anna", "O'Brien", "McDonald", "AnnaX", "Plan-Schmidt", "Der-Anna",
+    "Jo", "Li", "Xyz", "Zug-Anna", "O'Brien", "McDonald", "AnnaX", "Plan-Schmidt", "Der-Anna", "xAnna-Maria", "Anna'-Peter",
     "von", "von der", "der", "la", "Herr", "Frau", "Dr.", "Dr", "Graf", "Vater", "Mrs", "Herrn",
     "Titel:", "<title>", "</title>", "Vorname:", '"last_name2": "', "zweiter Vorname = ", "Name:", "Kunde: ", "name>",
     "Mein Name ist", "my last name is", "Kommentar von", "written by", "Hallo", "Liebe", "Sehr geehrter",
@@ -121,6 +122,30 @@ def test_many_words_in_one_row(spark, name_words):
     assert redact_names(df, "text", lexicon).first().redacted == ",".join(["[GIVENNAME1]"] * len(words))
 
 
+def test_long_runs_finish(spark, name_words):
+    """Long runs of anything a pattern repeats: no quadratic scan, no deep stack."""
+    blanks = " " * 100_000
+    runs = ["Herr " * 20_000, "Anna " + "la " * 50_000, "Ab" + "-Cd" * 20_000, "regards" + "\n" * 50_000, "Anna'" * 20_000]
+    runs += [f"x\n{blanks}y", f'"{blanks}y', f"Name{blanks}y", f"Name:{blanks}y", f"Hallo{blanks}y", "1" * 100_000]
+    runs += ["Frau Dr. " * 10_000, "Anna Schmidt " * 10_000, "|Anna" * 10_000]
+    df = spark.createDataFrame([(r,) for r in runs], "text string").repartition(len(runs))
+    redacted = redact_names(df, "text", NameLexicon(name_words)).collect()
+    assert len(redacted) == len(runs)
+    by_text = {r.text: r.redacted for r in redacted}
+    assert by_text["|Anna" * 10_000] == "|[GIVENNAME1]" * 10_000
+    assert by_text["Anna Schmidt " * 10_000] == "[GIVENNAME1] [LASTNAME1] [LASTNAME2] [LASTNAME3] " * 5_000
+
+
+def test_whole_documents_against_brute_force(spark, sf_dir):
+    """Whole documents with a dictionary made from their own words."""
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    entries = document_words(documents)
+    brute = Brute({r.word: r.flags for r in word_flags(entries).collect()})
+    rows = redact_names(documents, "text", NameLexicon(entries)).collect()
+    assert len(rows) == documents.count() and sum(r.text != r.redacted for r in rows) > 20
+    assert [r.doc_id for r in rows if brute.redact(r.text) != r.redacted] == []
+
+
 def test_empty_dictionary(spark, name_words):
     lexicon = NameLexicon(name_words.limit(0))
     df = spark.createDataFrame([("Herr Anna und Anna Schmidt",)], "text string")

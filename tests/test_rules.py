@@ -1,11 +1,15 @@
 """The pattern rules, on written-out examples."""
 
+import random
+
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from veilframe.functions.regexes import exact_fold
 from veilframe.functions.rules import CORE, FULL, RULES, java_pattern, select_rules
 from veilframe.operators.redaction import redact_core, redact_patterns, redact_patterns_sql
+from veilframe.plans.oracles import PLAIN
 
 CASES = [
     # e-mail
@@ -74,6 +78,8 @@ CASES = [
     ("<strong>Stadt:</strong> Halle", "<strong>Stadt:</strong> [ADDRESS]"),
     ("Maria-Montessori-Straße, Ratheimer Straße 5a", "[ADDRESS], [ADDRESS]"),
     ("Schauinslandweg 8 Heimweg", "[ADDRESS] Heimweg"),
+    ("Am Weg 8, Weg 8, weg 8, Hofweg 12-Xweg 5a, Hofwege 3", "Am Weg 8, Weg 8, weg 8, [ADDRESS]-[ADDRESS], Hofwege 3"),
+    ("Hauptstraßenbau Ratheimer Straßenbau-Xstraße 5", "[ADDRESS]nbau [ADDRESS]nbau-[ADDRESS]"),
     ("Hauptstraße 1 D-79117 Freiburg im Breisgau", "[ADDRESS]"),
     ("CİTY: x cıty: x", "CİTY: x cıty: x"),
     ("", ""),
@@ -122,9 +128,26 @@ def test_core_profile(spark):
 
 def test_long_runs_finish(spark):
     """Long unbroken runs, as in junk pages: no quadratic scan, no deep stack."""
-    runs = ["a" * 200_000, "x@" + "a." * 50_000, "A-" * 2_000, "1." * 20_000, "la " * 50_000]
-    df = spark.createDataFrame([(r,) for r in runs], "text string").repartition(5)
-    assert df.select(F.length(redact_patterns(F.col("text"))).alias("n")).agg(F.count("n")).first()[0] == 5
+    blanks = " " * 100_000
+    runs = ["a" * 200_000, "x@" + "a." * 50_000, "A-" * 2_000, "Ab" + "-Cd" * 20_000, "1." * 20_000, "la " * 50_000]
+    runs += [f"city:{blanks}\nx", f"city: <b>{blanks}\n", f"1 Uhr{blanks}", "1:" * 50_000, "+1" * 50_000, "::" * 50_000]
+    df = spark.createDataFrame([(r,) for r in runs], "text string").repartition(len(runs))
+    assert df.select(F.length(redact_patterns(F.col("text"))).alias("n")).agg(F.count("n")).first()[0] == len(runs)
+
+
+def test_street_chains_match_the_plain_patterns(spark):
+    """The tuned street rules against their plain form, in Python, on random chains."""
+    rng = random.Random(3)
+    parts = ["Haupt", "Ratheimer", "Straße", "Straßenbau", "Foo", "bar", "strasse", "Str.", "Am", "Hofweg", "weg", "X"]
+    texts = [
+        "".join(rng.choice(parts) + rng.choice(["-", "-", "", " ", " 5", " 12a ", ", "]) for _ in range(rng.randint(2, 9)))
+        for _ in range(4000)
+    ]
+    for rule in (r for r in RULES if r.rule_id in ("R39", "R40")):
+        pattern, token = PLAIN[rule.rule_id]
+        df = spark.createDataFrame([(t, regex.sub(pattern, token, t)) for t in texts], "text string, expected string")
+        tuned = df.withColumn("redacted", F.regexp_replace("text", java_pattern(rule), rule.replacement))
+        assert differing(tuned) == [] and tuned.filter("text <> redacted").count() > 100
 
 
 def test_exact_fold():

@@ -9,6 +9,9 @@ from __future__ import annotations
 # A capitalised word, possibly hyphenated or with an apostrophe.
 WORD = r"\p{Lu}[\p{Ll}'’]++(?:-\p{Lu}[\p{Ll}'’]++)*+"
 
+# What stands before a later part of a hyphenated word (of usual length).
+PART_BEFORE = r"\b\p{Lu}[\p{Ll}'’]{1,40}-"
+
 # Particles between name words; "der" and "den" only after von/van.
 PARTICLE = (
     r"(?:von der|von den|van der|van den|de la|von|van|de|del|della|di|da|du|la|le|ten|ter|zu|al|el|bin|ibn)"
@@ -75,6 +78,6 @@ SIGNATURE = (
 
 # A value that stands alone: what comes before it, what has to come after it, and
 # the end of a dictionary key, which is not a value.  Blanks may come before both ends.
-VALUE_START = r"""(?:^[ \t]*(?:[-*•]|\d+\.)?|["'>|;,\[{(]|\\"|\*\*)[ \t]*"""
+VALUE_START = r"""(?:^[ \t]*+(?:[-*•]|\d+\.)?+|["'>|;,\[{(]|\\"|\*\*)[ \t]*+"""
 VALUE_END = r"""(?:["'<|;,\]})\r\n*]|\\"|\\n|\z)"""
 KEY_END = r"""(?:["']|\\")[ \t]*:"""

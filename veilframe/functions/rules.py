@@ -190,19 +190,23 @@ RULES: tuple[Rule, ...] = (
     ),
     Rule("R36", "PHONE", r"\b0\d{2,9}[-. /]\d{3,9}(?:[-. /]\d{2,9}){0,3}\b", "[PHONE]", "0"),
     Rule("R37", "PHONE", r"\(0\d{2,5}\)[-. /]?\d{3,9}(?:[-. /]?\d{2,9}){0,3}\b", "[PHONE]"),
-    # postal address: labelled value, street, street with number, postcode and city
+    # postal address (blanks after the separator are possessive: the value starts with
+    # the first other character in any case): labelled value, street, street with number, postcode and city
     Rule(
         "R38",
         "ADDRESS",
-        r"""(\b(?i:straße|strasse|street|gebäude|building(?:_number)?|hausnummer|postleitzahl|plz|post_?code|postal[_ ]?code|stadt|city|ort|bundesland|state|zweite adresse|zweitadresse|sekundäre adresse|zusätzliche adresse|nebenadresse|zusatzadresse|secondary[_ ]?address|sec_?address)[ \t*"']*[:=>][ \t*"']*(?:</?[a-z]+>[ \t]*)?)[^"'<>\n*,]*[^"'<>\n*,\s]""",
+        r"""(\b(?i:straße|strasse|street|gebäude|building(?:_number)?|hausnummer|postleitzahl|plz|post_?code|postal[_ ]?code|stadt|city|ort|bundesland|state|zweite adresse|zweitadresse|sekundäre adresse|zusätzliche adresse|nebenadresse|zusatzadresse|secondary[_ ]?address|sec_?address)[ \t*"']*[:=>][ \t*"']*+(?:</?[a-z]+>[ \t]*+)?+)[^"'<>\n*,]*[^"'<>\n*,\s]""",
         "$1[ADDRESS]",
         "[SsſGgBbHhPpCcOoZzNn]",
         "mark",
     ),
+    # In a chain of hyphenated parts only the first capitalised one is tried: the later
+    # ones reach no suffix it does not reach.  (After "er Straße" a match ends inside a
+    # word, so parts behind "Str..." are tried too.)
     Rule(
         "R39",
         "ADDRESS",
-        r"\b\p{Lu}[\p{L}-]*(?:straße|strasse|str\.|-Straße|-Str\.|er Straße|er Str\.)(?: \d{1,4}(?: ?[a-z])?\b)?",
+        r"\b(?:(?<!-)|(?<!\b(?!Str)\p{Lu}\p{L}{0,40}-))\p{Lu}[\p{L}-]*(?:straße|strasse|str\.|-Straße|-Str\.|er Straße|er Str\.)(?: \d{1,4}(?: ?[a-z])?\b)?",
         "[ADDRESS]",
         UPPER,
         "",
@@ -210,7 +214,8 @@ RULES: tuple[Rule, ...] = (
     Rule(
         "R40",
         "ADDRESS",
-        r"\b\p{Lu}[\p{L}-]*(?:weg|hof|gasse|platz|allee|ring|damm|ufer|chaussee|pfad|steig|stieg|promenade|kamp|wall|graben|markt) \d{1,4}(?: ?[a-z])?\b",
+        # the suffix ends where the run of letters ends, so the run is read once
+        r"\b(?:(?<!-)|(?<!\b\p{Lu}\p{L}{0,40}-))\p{Lu}[\p{L}-]*+(?<=weg|hof|gasse|platz|allee|ring|damm|ufer|chaussee|pfad|steig|stieg|promenade|kamp|wall|graben|markt) \d{1,4}(?: ?[a-z])?\b",
         "[ADDRESS]",
         UPPER,
     ),

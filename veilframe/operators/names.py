@@ -157,10 +157,11 @@ NAME_RULES: tuple[NameRule, ...] = (
         value_end=True,
     ),
     # A run of capitalised words holding a given name followed by another name.  A
-    # lone word can never be one, so the pattern asks for a second word.
+    # lone word can never be one, so the pattern asks for a second word.  Later parts of
+    # a hyphenated word are no starts: the first part has been tried and ends the same.
     NameRule(
         "N11",
-        rf"\b()({P.name_sequence(3, at_least=1)})",
+        rf"\b(?:(?<!-)|(?<!{P.PART_BEFORE}))()({P.name_sequence(3, at_least=1)})",
         first=r"\p{Lu}",
         skipped=f"regexp_extract(code, {literal(f'^(.*?){RUN}')}, 1)",
         taken=(

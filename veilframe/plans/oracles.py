@@ -10,6 +10,15 @@ PLAIN = {
     "R1": (r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.\p{L}{2,}\b", "[EMAIL]"),
     "R17": (rf"(^|[^0-9A-Za-z:])::(?:{HEX}:){{0,6}}{HEX}\b", r"\1[IP]"),
     "R31": (r"(^|[^:0-9A-Za-z])(?:[01]?\d|2[0-3]):[0-5]\d(?::[0-5]\d)?\b", r"\1[TIME]"),
+    "R39": (
+        r"\b\p{Lu}[\p{L}-]*(?:straße|strasse|str\.|-Straße|-Str\.|er Straße|er Str\.)(?: \d{1,4}(?: ?[a-z])?\b)?",
+        "[ADDRESS]",
+    ),
+    "R40": (
+        r"\b\p{Lu}[\p{L}-]*(?:weg|hof|gasse|platz|allee|ring|damm|ufer|chaussee|pfad|steig|stieg|promenade|kamp"
+        r"|wall|graben|markt) \d{1,4}(?: ?[a-z])?\b",
+        "[ADDRESS]",
+    ),
 }
 
 
@@ -22,7 +31,8 @@ def chain(column: str, profile: str) -> str:
     sql = column
     for rule in RULES:
         if profile in rule.profiles:
-            pattern, replacement = PLAIN.get(rule.rule_id, (rule.pattern, rule.replacement.replace("$1", r"\1")))
+            greedy = rule.pattern.replace("*+", "*").replace("?+", "?")
+            pattern, replacement = PLAIN.get(rule.rule_id, (greedy, rule.replacement.replace("$1", r"\1")))
             sql = f"regexp_replace({sql}, {quoted(pattern)}, {quoted(replacement)}, 'g')"
     return sql
 
