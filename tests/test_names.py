@@ -113,6 +113,13 @@ def test_copies_of_one_text_are_all_redacted(spark, lexicon):
     assert only_text.columns == ["text", "redacted"] and only_text.count() == 500
 
 
+def test_copies_that_meet_nothing(spark, lexicon):
+    texts = ["", "nothing here", "Only Unlisted Words", None]
+    df = spark.range(400).select("id", F.array(*map(F.lit, texts))[F.col("id").cast("int") % 4].alias("odd `name`"))
+    redacted = redact_names(df, "odd `name`", lexicon)
+    assert redacted.filter(F.col("`odd ``name```").eqNullSafe(F.col("redacted"))).count() == 400
+
+
 def test_many_words_in_one_row(spark, name_words):
     """A row table with many buckets finds every word."""
     words = [f"Na{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]

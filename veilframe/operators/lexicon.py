@@ -19,10 +19,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.functions.sqltext import evaluated_once
+from veilframe.functions.sqltext import evaluated_once, quoted
 from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, needed_words, row_table
 
-MAX_SHARED_BYTES = 64 * 1024 * 1024
+MAX_SHARED_BYTES = 32 * 1024 * 1024
 WORDS_PER_BUCKET = 4
 # what a word costs besides its own bytes: marks, flag, its share of a bucket
 WORD_OVERHEAD = 16
@@ -76,10 +76,12 @@ class NameLexicon:
         self.spark.sql(
             f"""
             SET VAR {name} = (
-              SELECT transform(array_sort(collect_list(struct(slots.id AS id, entries))), b -> coalesce(b.entries, '{EDGE}'))
+              SELECT transform(array_sort(collect_list(struct(slots.id AS id, entries))),
+                               b -> coalesce(b.entries, '{EDGE}'))
               FROM range(0, {n_buckets}, 1, 8) slots
               LEFT JOIN (
-                SELECT {bucket} AS bucket, array_join(collect_list({entry("word", digit)}), '') AS entries
+                SELECT {bucket} AS bucket,
+                       array_join(collect_list({entry("word", digit)}), '') AS entries
                 FROM {name}_words GROUP BY {bucket}
               ) filled ON slots.id = filled.bucket
             )
@@ -91,7 +93,7 @@ class NameLexicon:
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
         """Add column ``name``: the look-up table the text in ``column`` needs."""
         if self.variable:
-            return evaluated_once(df, F.expr(needed_words(f"`{column}`", self.variable)), name)
+            return evaluated_once(df, F.expr(needed_words(quoted(column), self.variable)), name)
         return self._attach_joined(df, column, name)
 
     def _attach_joined(self, df: DataFrame, column: str, name: str) -> DataFrame:
@@ -100,38 +102,47 @@ class NameLexicon:
         Texts that share a hash share a superset of what each needs, which changes no
         look-up.  Equal pairs of text and word are counted before the first shuffle;
         the count tells which texts have many copies, and only those are salted.
+        Texts without a capitalised word meet nothing and are spread freely.
         """
+        text = F.col(quoted(column))
         word_salts = F.sequence(F.lit(0), F.lit(WORD_SALTS - 1))
         pairs = (
-            df.select(F.xxhash64(column).alias("k"), F.explode(F.expr(candidate_words(f"`{column}`"))).alias("word"))
-            .groupBy("k", "word")
+            df.select(F.xxhash64(text).alias("__k"), F.explode(F.expr(candidate_words(quoted(column)))).alias("word"))
+            .groupBy("__k", "word")
             .agg(F.count("*").alias("copies"))
-            .withColumn("salt", F.pmod("k", F.lit(WORD_SALTS)).cast("int"))
+        )
+        hot = (
+            pairs.filter(F.col("copies") >= self.hot_copies)
+            .groupBy("__k")
+            .agg((F.lit(1) + F.floor(F.max("copies") / self.hot_copies)).cast("int").alias("__salts"))
         )
         digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
         hit = F.struct(F.xxhash64("word").alias("h"), F.expr(entry("word", digit)).alias("e"))
         needed = (
-            pairs.join(self.flags.withColumn("salt", F.explode(word_salts)), ["word", "salt"])
-            .groupBy("k")
-            .agg(F.collect_list(hit).alias("found"), F.max("copies").alias("copies"))
-            .select(
-                F.col("k").alias("__k"),
-                (F.lit(1) + F.floor(F.col("copies") / self.hot_copies)).cast("int").alias("__salts"),
-                F.expr(row_table("found")).alias(name),
-            )
+            pairs.select("__k", "word", F.pmod("__k", F.lit(WORD_SALTS)).cast("int").alias("salt"))
+            .join(self.flags.withColumn("salt", F.explode(word_salts)), ["word", "salt"])
+            .groupBy("__k")
+            .agg(F.collect_list(hit).alias("found"))
+            .select("__k", F.expr(row_table("found")).alias(name))
+            .join(F.broadcast(hot), "__k", "left")
+            .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
+            .drop("__salts")
         )
-        hot = needed.filter(F.col("__salts") > 1).select("__k", "__salts")
-        spread_by = F.xxhash64(*df.columns) + F.spark_partition_id()
+        may_meet = F.rlike(text, F.lit(r"\p{Lu}[\p{Ll}'’]"))
         keyed = (
-            df.withColumn("__k", F.xxhash64(column))
-            .withColumn("__by", spread_by)
+            df.withColumn("__k", F.xxhash64(text))
+            .withColumn("__by", F.xxhash64(*[quoted(c) for c in df.columns]) + F.spark_partition_id())
             .join(F.broadcast(hot), "__k", "left")
-            .withColumn("__salt", F.pmod("__by", F.coalesce("__salts", F.lit(1))).cast("int"))
+            .withColumn(
+                "__salt",
+                F.when(may_meet, F.pmod("__by", F.coalesce("__salts", F.lit(1))))
+                .otherwise(F.lit(-1) - F.pmod("__by", F.lit(1 << 20)))
+                .cast("int"),
+            )
             .drop("__salts", "__by")
         )
-        salted = needed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.col("__salts") - 1))).drop("__salts")
         return (
-            keyed.join(salted, ["__k", "__salt"], "left")
+            keyed.join(needed, ["__k", "__salt"], "left")
             .withColumn(name, F.coalesce(name, F.array(F.lit(EDGE))))
             .drop("__k", "__salt")
         )

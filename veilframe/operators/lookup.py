@@ -50,5 +50,6 @@ def row_table(hits: str) -> str:
 def needed_words(text: str, table: str) -> str:
     """The part of ``table`` that ``text`` needs.  Reads ``table`` in one place only: it
     may be a value of many megabytes, which Spark compares and hashes wherever it occurs."""
-    bound = bind(table, "d", f"transform({candidate_words(text)}, w -> struct(xxhash64(w) AS h, {entry('w', flag('d', 'w'))} AS e))")
-    return row_table(f"filter({bound}, x -> NOT endswith(x.e, '{EDGE}'))")
+    looked_up = f"struct(xxhash64(w) AS h, {entry('w', flag('d', 'w'))} AS e)"
+    all_words = bind(table, "d", f"transform({candidate_words(text)}, w -> {looked_up})")
+    return row_table(f"filter({all_words}, x -> NOT endswith(x.e, '{EDGE}'))")

@@ -70,6 +70,7 @@ class NameRule(NamedTuple):
     start: str = "1"
     out_lead: str = "lead"
     value_end: bool = False  # the value has to end after the sequence
+    or_titles: bool = False  # a sequence of titles becomes titles
 
 
 def _prefix(code_regex: str) -> str:
@@ -108,7 +109,8 @@ NAME_RULES: tuple[NameRule, ...] = (
     # title is itself offered as the name.
     NameRule(
         "N2",
-        rf"\b(?={P.TITLE} )(?:((?:{P.TITLE} )++)({P.name_sequence(2)})|((?:{P.TITLE} (?={P.TITLE} ))++)({P.name_sequence(2)}))",
+        rf"\b(?={P.TITLE} )(?:((?:{P.TITLE} )++)({P.name_sequence(2)})"
+        rf"|((?:{P.TITLE} (?={P.TITLE} ))++)({P.name_sequence(2)}))",
         first="[ABDEFGHIKMOPRSVÄ]",
         lead="$1$3",
         words="$2$4",
@@ -155,6 +157,7 @@ NAME_RULES: tuple[NameRule, ...] = (
             "AND (length(replace(code, 'p', '')) > 1 OR char_length(seq) >= 3), code, '')"
         ),
         value_end=True,
+        or_titles=True,
     ),
     # A run of capitalised words holding a given name followed by another name.  A
     # lone word can never be one, so the pattern asks for a second word.  Later parts of
@@ -212,7 +215,7 @@ def _rewrite(rule: NameRule, table: str) -> str:
     """The new text of one offered part ``x``."""
     labelled = bind(rule.taken, "taken", f"if(taken = '', lead || seq, {_tokens(rule)})")
     labelled = bind("split(seq, ' ')", "words", bind(_code(table), "code", labelled))
-    if rule.rule_id == "N10":
+    if rule.or_titles:
         labelled = f"if(rlike(seq, {_TITLES_ONLY}), lead || {_AS_TITLES.format('seq')}, {labelled})"
     return labelled
 

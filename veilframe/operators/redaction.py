@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.functions.rules import CORE, FULL, NEEDS, Rule, java_pattern, select_rules
-from veilframe.functions.sqltext import evaluated_once, literal
+from veilframe.functions.sqltext import evaluated_once, literal, quoted
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 
@@ -70,9 +70,9 @@ def redact(
     df: DataFrame, column: str, lexicon: NameLexicon | None = None, output: str = "redacted", profile: str = FULL
 ) -> DataFrame:
     """Add ``output``: the text of ``column`` after the pattern rules and, with a dictionary, the name rules."""
-    patterns = redact_patterns(F.col(f"`{column}`"), profile)
+    patterns = redact_patterns(F.col(quoted(column)), profile)
     if lexicon is None:
-        return evaluated_once(df, patterns, output, [f"`{c}`" for c in df.columns if c != output])
+        return evaluated_once(df, patterns, output)
     text = f"__{output}_patterns"
     return redact_names(df.withColumn(text, patterns), text, lexicon, output).drop(text)
 
@@ -80,10 +80,8 @@ def redact(
 def redact_names(df: DataFrame, column: str, lexicon: NameLexicon, output: str = "redacted") -> DataFrame:
     """Add ``output``: the text of ``column`` after the name and title rules alone."""
     table = f"__{output}_lexicon"
-    result = df.withColumn(output, F.expr(before_lookup(f"`{column}`")))
+    result = df.withColumn(output, F.expr(before_lookup(quoted(column))))
     result = lexicon.attach(result, output, table)
     for _, step in lookup_steps(table):
-        result = result.withColumn(output, F.expr(step(f"`{output}`")))
-    final = F.expr(after_lookup(f"`{output}`"))
-    kept = [f"`{c}`" for c in df.columns if c != output]
-    return evaluated_once(result, final, output, kept)
+        result = result.withColumn(output, F.expr(step(quoted(output))))
+    return evaluated_once(result, F.expr(after_lookup(quoted(output))), output, kept=df.columns)

@@ -155,7 +155,8 @@ SPARK: dict[str, str] = {
               FROM (SELECT user_id, event_type, count(*) AS n FROM events GROUP BY user_id, event_type) t
               GROUP BY user_id) u""",
     "sql_json": """
-        SELECT event_type, count(*) AS n_events, cast(sum(cast(get_json_object(props, '$.k') AS int)) AS bigint) AS sum_k,
+        SELECT event_type, count(*) AS n_events,
+               cast(sum(cast(get_json_object(props, '$.k') AS int)) AS bigint) AS sum_k,
                max(from_json(props, 'k INT').k) AS max_k
         FROM events GROUP BY event_type""",
 }

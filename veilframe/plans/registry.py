@@ -316,7 +316,8 @@ def chat_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(1).alias("prompt_tokens"), F.length("text").alias("completion_tokens"),
         (F.length("text") + 1).alias("total_tokens"),
     )
-    responses = answered.select("conv_id", "turn", F.to_json(F.struct(F.array(message).alias("choices"), usage.alias("usage"))).alias("r"))
+    response = F.to_json(F.struct(F.array(message).alias("choices"), usage.alias("usage")))
+    responses = answered.select("conv_id", "turn", response.alias("r"))
     parsed = responses.select("conv_id", "turn", scalars.chat_answer(F.col("r")).alias("a"))
     return parsed.select("conv_id", "turn", "a.answer", F.col("a.usage.total_tokens").alias("total_tokens"))
 
@@ -404,7 +405,9 @@ _LETTERS = "translate(lpad(cast({0} AS string), 9, '0'), '0123456789', 'abdefgik
 def _labels(remainder: int, name_words: bool = True) -> str:
     label = f"(CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE 'K' END) || {_LETTERS.format('c_custkey // 3')}"
     only = "AND c_custkey % 7 <> 0" if name_words else ""
-    return f"SELECT DISTINCT {label} AS word FROM customer WHERE c_custkey % 4 = {remainder} AND c_custkey % 11 <> 0 {only}"
+    return f"""
+        SELECT DISTINCT {label} AS word FROM customer
+        WHERE c_custkey % 4 = {remainder} AND c_custkey % 11 <> 0 {only}"""
 
 
 def all_oracles() -> dict[str, str]:
@@ -413,7 +416,7 @@ def all_oracles() -> dict[str, str]:
         "sql_max_rows": """
             SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2
             ORDER BY n DESC, event_type, user_id LIMIT 20""",
-        "list_tables": "SELECT DISTINCT name FROM (SHOW TABLES) WHERE name IN (" + ", ".join(f"'{t}'" for t in TABLES) + ")",
+        "list_tables": f"SELECT DISTINCT name FROM (SHOW TABLES) WHERE name IN {TABLES}",
         "describe_table": _types("lineitem"),
         "describe_nested_types": _types("embeddings"),
         "records_json": """
@@ -490,8 +493,8 @@ def all_oracles() -> dict[str, str]:
         "word_column": "SELECT DISTINCT p_name AS word FROM part",
         "scalar_functions": """
             SELECT c_custkey, 'Hello, ' || c_name || '!' AS greeting,
-                   repeat('XXX', cast(c_custkey % 9 // 3 AS int)) || repeat('a', cast(c_custkey % 9 % 3 AS int)) || c_name
-                     AS converted
+                   repeat('XXX', cast(c_custkey % 9 // 3 AS int)) || repeat('a', cast(c_custkey % 9 % 3 AS int))
+                     || c_name AS converted
             FROM customer""",
         "chat_requests": """
             SELECT conv_id, turn,
