@@ -27,6 +27,8 @@ CASES = [
     ("Dritter Nachname: Xyz", "Dritter Nachname: [LASTNAME3]"),
     ("Name: Projekt Alpha", "Name: Projekt Alpha"),
     ("Name: Projekt Anna", "Name: [GIVENNAME1] [GIVENNAME2]"),
+    ("\u212aunde: Anna, \u212aommentar von Anna", "\u212aunde: [GIVENNAME1], \u212aommentar von [GIVENNAME1]"),
+    ("\u017furname: Xyz. T\u0130tel: Dr.", "\u017furname: [LASTNAME1]. T\u0130tel: Dr."),
     ("Name: Herr Schmidt", "Name: [TITLE] [LASTNAME1]"),
     ("Titel: Dr. Prof.", "Titel: [TITLE] [TITLE]"),
     ("<title>Mein Text</title> <Title>Mein</Title>", "<title>Mein Text</title> <Title>[TITLE]</Title>"),

@@ -82,6 +82,7 @@ CASES = [
     ("Hauptstraßenbau Ratheimer Straßenbau-Xstraße 5", "[ADDRESS]nbau [ADDRESS]nbau-[ADDRESS]"),
     ("Hauptstraße 1 D-79117 Freiburg im Breisgau", "[ADDRESS]"),
     ("CİTY: x cıty: x", "CİTY: x cıty: x"),
+    ("\u017ftadt: x, STRA\u1e9eE: y", "\u017ftadt: [ADDRESS], STRA\u1e9eE: [ADDRESS]"),
     ("", ""),
     (None, None),
 ]

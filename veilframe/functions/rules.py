@@ -90,7 +90,7 @@ RULES: tuple[Rule, ...] = (
         "TAX_ID",
         r"""(\b(?i:Steuer-?(?:nummer|nr\.?)|St\.-?Nr\.?|Steuer-?(?:identifikationsnummer|ID)|Tax\s?ID|Taxpayer\s?ID)[\s:*"'>=]{0,6})[0-9][0-9A-Z/ ]{8,14}[0-9]\b""",
         "$1[TAX_ID]",
-        "[SsſTt]",
+        "[Ss\u017fTt]",
     ),
     # social security number: German, Swiss, French, US, name-based
     Rule(
@@ -197,7 +197,7 @@ RULES: tuple[Rule, ...] = (
         "ADDRESS",
         r"""(\b(?i:straße|strasse|street|gebäude|building(?:_number)?|hausnummer|postleitzahl|plz|post_?code|postal[_ ]?code|stadt|city|ort|bundesland|state|zweite adresse|zweitadresse|sekundäre adresse|zusätzliche adresse|nebenadresse|zusatzadresse|secondary[_ ]?address|sec_?address)[ \t*"']*[:=>][ \t*"']*+(?:</?[a-z]+>[ \t]*+)?+)[^"'<>\n*,]*[^"'<>\n*,\s]""",
         "$1[ADDRESS]",
-        "[SsſGgBbHhPpCcOoZzNn]",
+        "[Ss\u017fGgBbHhPpCcOoZzNn]",
         "mark",
     ),
     # In a chain of hyphenated parts only the first capitalised one is tried: the later

@@ -52,7 +52,10 @@ def word_flags(name_words: DataFrame) -> DataFrame:
 
 
 class NameLexicon:
-    """A name dictionary, shared as a value when it is small enough."""
+    """A name dictionary, shared as a value when it is small enough.
+
+    The value lives in the session of ``name_words``; use it with tables of that session.
+    """
 
     def __init__(
         self, name_words: DataFrame, max_shared_bytes: int = MAX_SHARED_BYTES, hot_copies: int = HOT_COPIES
@@ -90,6 +93,12 @@ class NameLexicon:
         self.spark.catalog.dropTempView(name + "_words")
         return name
 
+    def drop(self) -> None:
+        """Forget the shared value.  Data frames and functions made with it stay valid until then."""
+        if self.variable:
+            self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {self.variable}")
+            self.variable = None
+
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
         """Add column ``name``: the look-up table the text in ``column`` needs."""
         if self.variable:

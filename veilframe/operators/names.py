@@ -61,7 +61,7 @@ class NameRule(NamedTuple):
 
     rule_id: str
     pattern: str
-    first: str = ""  # characters a match starts with
+    first: str = ""  # characters a match starts with; s and k also as U+017F and U+212A
     lead: str = "$1"
     words: str = "$2"
     skipped: str = "''"  # code of the words before the taken ones
@@ -119,12 +119,12 @@ NAME_RULES: tuple[NameRule, ...] = (
         out_lead=_AS_TITLES.format("lead"),
     ),
     # Labelled given, last and full names.
-    NameRule("N3", _labelled(P.GIVEN_LABEL), first="[ZzDdVvRrFfGgSsſMm]", given="length(names)", start=_LABEL_START),
-    NameRule("N4", _labelled(P.LAST_LABEL), first="[ZzDdNnFfGgSsſLl]", given="0", start=_LABEL_START),
+    NameRule("N3", _labelled(P.GIVEN_LABEL), first="[ZzDdVvRrFfGgSs\u017fMm]", given="length(names)", start=_LABEL_START),
+    NameRule("N4", _labelled(P.LAST_LABEL), first="[ZzDdNnFfGgSs\u017fLl]", given="0", start=_LABEL_START),
     NameRule(
         "N5",
         _labelled(P.FULL_LABEL),
-        first="[NnFfVvPpTtMmKkKKAa]",
+        first="[NnFfVvPpTtMmKk\u212aAa]",
         taken=f"if({_any_unambiguous('code')}, code, '')",
     ),
     # Phrases, greetings and signatures.
@@ -138,14 +138,14 @@ NAME_RULES: tuple[NameRule, ...] = (
     NameRule(
         "N7",
         rf"({P.AUTHOR_PHRASE})({P.name_sequence(3)})",
-        first="[AaBbCcEeFfGgHhKkKNnPpSsſUuVvWwZz]",
+        first="[AaBbCcEeFfGgHhKk\u212aNnPpSs\u017fUuVvWwZz]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
     ),
     NameRule("N8", rf"({P.GREETING})({P.name_sequence(3)})", first="[LHDSMG]", taken=_prefix(UNAMBIGUOUS_FIRST)),
     NameRule(
         "N9",
         rf"({P.SIGNATURE})({P.name_sequence(3)})",
-        first="[BbCcFfgHhKkKLlMmRrSsſVv]",
+        first="[BbCcFfgHhKk\u212aLlMmRrSs\u017fVv]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
     ),
     # A value that stands alone and is made up of names only.
@@ -247,7 +247,7 @@ def _rule_sql(text: str, rule: NameRule, table: str) -> str:
 def _title_field_sql(text: str) -> str:
     """N1: the words after "Titel:".  Lower-case ``title>`` is mostly the title of a
     web page, so there only known titles are replaced."""
-    marked = _marked(text, _TITLE_FIELD, "[TtAaSsſ]", f"{EDGE}$1{MID}$2{EDGE}")
+    marked = _marked(text, _TITLE_FIELD, "[TtAaSs\u017f]", f"{EDGE}$1{MID}$2{EDGE}")
     page = f"startswith(lead, 'title>') AND NOT rlike(seq, {_TITLES_ONLY})"
     return _apply(marked, f"if({page}, lead || seq, lead || {_AS_TITLES.format('seq')})")
 
