@@ -10,8 +10,8 @@ Patterns are in the Java dialect: every one is run with ``(?U)`` so that
 and groups that are put back are numbered so the same replacement works from the
 DataFrame API and from SQL text.
 
-``needs`` is a character a match cannot do without.  Tokens bring in no digit, no
-"@" and no ":", so a text that lacks the character at the start lacks it at every
+``needs`` names the features (``FEATURES``) a match cannot do without.  Replacement
+tokens bring in none of them, so a text that lacks one at the start lacks it at every
 step, and the rule can be left out for that row (see ``operators.redaction``).
 
 ``first`` names the characters a match can start with.  It becomes a lookahead in
@@ -35,7 +35,7 @@ class Rule(NamedTuple):
     pattern: str
     replacement: str
     first: str = ""
-    needs: str = "digit"
+    needs: tuple[str, ...] = ("digit",)
     profiles: tuple[str, ...] = (CORE, FULL)
 
 
@@ -44,9 +44,11 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"(?:{OCTET}\.){{3}}{OCTET}"
 HEX = r"[0-9A-Fa-f]{1,4}"
 
-# What ``needs`` stands for: any decimal digit; one of the signs without which
-# there is no e-mail address, IPv6 address or labelled value.
-NEEDS: dict[str, str] = {"digit": r"\p{Nd}", "mark": r"[@:=>]"}
+# What ``needs`` stands for.  Any decimal digit; a sign without which there is no
+# e-mail address, IPv6 address or labelled value; and strings that are absent from most
+# texts, looked for as they are, which costs next to nothing.
+FEATURES: dict[str, str] = {"digit": r"\p{Nd}", "mark": r"[@:=>]"}
+RARE: tuple[str, ...] = ("@", "::", "+", "(0", "Uhr", "straße", "strasse", "str.", "Straße", "Str.")
 
 DIGIT = r"[\p{Nd}]"
 CAPITAL = r"[A-Z]"
@@ -58,7 +60,7 @@ RULES: tuple[Rule, ...] = (
     # e-mail address.  The local part is possessive and starts where a run of its
     # characters starts (or where the last match ended), so a long unbroken run
     # without "@" is read once instead of once per character.
-    Rule("R1", "EMAIL", r"(?:(?<![\w.+%-])|\G)[\w.+%-]++@(?=[\w-])(?:(?!\.\.)[\w.-])+\.\p{L}{2,}\b", "[EMAIL]", needs="mark"),
+    Rule("R1", "EMAIL", r"(?:(?<![\w.+%-])|\G)[\w.+%-]++@(?=[\w-])(?:(?!\.\.)[\w.-])+\.\p{L}{2,}\b", "[EMAIL]", needs=("mark", "rare")),
     # driver's licence
     Rule("R2", "DRIVERLICENSE", r"\b[A-Z]\d[-. ]?\d{2}[-. ]?[A-Z0-9]{7}[-. ]?\d\b", "[DRIVERLICENSE]", CAPITAL),
     Rule(
@@ -123,14 +125,14 @@ RULES: tuple[Rule, ...] = (
         CAPITAL,
     ),
     # IP address: IPv4-mapped, IPv4, full IPv6, "::" inside or at the end, "::" first
-    Rule("R13", "IP", rf"(?i:::ffff:){IPV4}\b", "[IP]", ":"),
+    Rule("R13", "IP", rf"(?i:::ffff:){IPV4}\b", "[IP]", ":", ("digit", "rare")),
     Rule("R14", "IP", rf"\b{IPV4}([^.0-9A-Za-z]|\.(?:[^0-9A-Za-z]|\z)|\z)", "[IP]$1", DIGIT),
-    Rule("R15", "IP", rf"\b(?:{HEX}:){{3,7}}{HEX}\b", "[IP]", HEX_DIGIT, "mark"),
-    Rule("R16", "IP", rf"\b(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}\b|\b(?:{HEX}:){{1,7}}:", "[IP]", HEX_DIGIT, "mark"),
+    Rule("R15", "IP", rf"\b(?:{HEX}:){{3,7}}{HEX}\b", "[IP]", HEX_DIGIT, ("mark",)),
+    Rule("R16", "IP", rf"\b(?:{HEX}:){{1,6}}(?::{HEX}){{1,6}}\b|\b(?:{HEX}:){{1,7}}:", "[IP]", HEX_DIGIT, ("mark", "rare")),
     # R17 and R31: the character before is tested, not taken.  A match ends in a
     # digit or hex digit, after which another one cannot start, so testing gives the
     # same result as taking the character and putting it back.
-    Rule("R17", "IP", rf"(?<![0-9A-Za-z:])::(?:{HEX}:){{0,6}}{HEX}\b", "[IP]", ":", "mark"),
+    Rule("R17", "IP", rf"(?<![0-9A-Za-z:])::(?:{HEX}:){{0,6}}{HEX}\b", "[IP]", ":", ("mark", "rare")),
     # IBAN: compact, grouped
     Rule("R18", "IBAN", r"\b[A-Z]{2}\d{2}[A-Z0-9]{11,30}\b", "[IBAN]", CAPITAL),
     Rule("R19", "IBAN", r"\b[A-Z]{2}\d{2}(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?\b", "[IBAN]", CAPITAL),
@@ -178,8 +180,8 @@ RULES: tuple[Rule, ...] = (
         "[TIME]",
         DIGIT,
     ),
-    Rule("R32", "TIME", r"\b(?:[01]?\d|2[0-4])\.[0-5]\d(\s?Uhr)\b", "[TIME]$1", DIGIT),
-    Rule("R33", "TIME", r"\b(?:[01]?\d|2[0-4])(\s?Uhr)\b", "[TIME]$1", DIGIT),
+    Rule("R32", "TIME", r"\b(?:[01]?\d|2[0-4])\.[0-5]\d(\s?Uhr)\b", "[TIME]$1", DIGIT, ("digit", "rare")),
+    Rule("R33", "TIME", r"\b(?:[01]?\d|2[0-4])(\s?Uhr)\b", "[TIME]$1", DIGIT, ("digit", "rare")),
     Rule("R34", "TIME", r"\b(?:[01]?\d|2[0-4])h\b", "[TIME]", DIGIT),
     # phone: international, national, area code in parentheses
     Rule(
@@ -187,9 +189,10 @@ RULES: tuple[Rule, ...] = (
         "PHONE",
         r"\+\d{1,3}[-. /]?(?:\(0\)[-. /]?)?\d{1,5}(?:[-. /]?\d{2,9}){1,4}\b",
         "[PHONE]",
+        needs=("digit", "rare"),
     ),
     Rule("R36", "PHONE", r"\b0\d{2,9}[-. /]\d{3,9}(?:[-. /]\d{2,9}){0,3}\b", "[PHONE]", "0"),
-    Rule("R37", "PHONE", r"\(0\d{2,5}\)[-. /]?\d{3,9}(?:[-. /]?\d{2,9}){0,3}\b", "[PHONE]"),
+    Rule("R37", "PHONE", r"\(0\d{2,5}\)[-. /]?\d{3,9}(?:[-. /]?\d{2,9}){0,3}\b", "[PHONE]", needs=("digit", "rare")),
     # postal address (blanks after the separator are possessive: the value starts with
     # the first other character in any case): labelled value, street, street with number, postcode and city
     Rule(
@@ -198,7 +201,7 @@ RULES: tuple[Rule, ...] = (
         r"""(\b(?i:straße|strasse|street|gebäude|building(?:_number)?|hausnummer|postleitzahl|plz|post_?code|postal[_ ]?code|stadt|city|ort|bundesland|state|zweite adresse|zweitadresse|sekundäre adresse|zusätzliche adresse|nebenadresse|zusatzadresse|secondary[_ ]?address|sec_?address)[ \t*"']*[:=>][ \t*"']*+(?:</?[a-z]+>[ \t]*+)?+)[^"'<>\n*,]*[^"'<>\n*,\s]""",
         "$1[ADDRESS]",
         "[Ss\u017fGgBbHhPpCcOoZzNn]",
-        "mark",
+        ("mark",),
     ),
     # In a chain of hyphenated parts only the first capitalised one is tried: the later
     # ones reach no suffix it does not reach.  (After "er Straße" a match ends inside a
@@ -209,13 +212,13 @@ RULES: tuple[Rule, ...] = (
         r"\b(?:(?<!-)|(?<!\b(?!Str)\p{Lu}\p{L}{0,40}-))\p{Lu}[\p{L}-]*(?:straße|strasse|str\.|-Straße|-Str\.|er Straße|er Str\.)(?: \d{1,4}(?: ?[a-z])?\b)?",
         "[ADDRESS]",
         UPPER,
-        "",
+        ("rare",),
     ),
     Rule(
         "R40",
         "ADDRESS",
         # the suffix ends where the run of letters ends, so the run is read once
-        r"\b(?:(?<!-)|(?<!\b\p{Lu}\p{L}{0,40}-))\p{Lu}[\p{L}-]*+(?<=weg|hof|gasse|platz|allee|ring|damm|ufer|chaussee|pfad|steig|stieg|promenade|kamp|wall|graben|markt) \d{1,4}(?: ?[a-z])?\b",
+        r"\b(?:(?<!-)|(?<!\b\p{Lu}\p{L}{0,40}-))\p{Lu}[\p{L}-]*+(?= \d)(?<=weg|hof|gasse|platz|allee|ring|damm|ufer|chaussee|pfad|steig|stieg|promenade|kamp|wall|graben|markt) \d{1,4}(?: ?[a-z])?\b",
         "[ADDRESS]",
         UPPER,
     ),

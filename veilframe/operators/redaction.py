@@ -8,40 +8,48 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.functions.rules import CORE, FULL, NEEDS, Rule, java_pattern, select_rules
+from veilframe.functions.rules import CORE, FEATURES, FULL, RARE, Rule, java_pattern, select_rules
 from veilframe.functions.sqltext import evaluated_once, literal, quoted
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 
 
-def _branches(rules: list[Rule]) -> list[tuple[str | None, list[Rule]]]:
-    """Row classes, as (test on the text, rules that can match there).
+# Row classes, tried in order, as (features the text has, features it lacks).  Each
+# pass of a rule decodes, copies and encodes the whole text, so a pass that cannot
+# match is worth leaving out.  A text of no class meets no rule.  The features are
+# those of the original text.
+ROW_CLASSES: tuple[tuple[tuple[str, ...], tuple[str, ...]], ...] = (
+    (("digit", "rare"), ()),
+    (("digit",), ("rare",)),
+    (("mark",), ("digit",)),
+    (("rare",), ("digit", "mark")),
+)
 
-    A row without a digit can only meet the few rules that need none, and without
-    "@ : = >" fewer still.  Each pass decodes and encodes the whole text, so a pass
-    that cannot match is worth leaving out.  The tests read the original text.
-    """
-    return [
-        (NEEDS["digit"], rules),
-        (NEEDS["mark"], [r for r in rules if r.needs != "digit"]),
-        (None, [r for r in rules if not r.needs]),
-    ]
+
+def _rules_without(rules: list[Rule], lacking: tuple[str, ...]) -> list[Rule]:
+    return [rule for rule in rules if not set(rule.needs) & set(lacking)]
 
 
 def redact_patterns(text: Column, profile: str = FULL, families: Iterable[str] | None = None) -> Column:
     """Run the rules of a profile over ``text``; every rule reads the last result once."""
+    rules = select_rules(profile, families)
+
+    def has(feature: str) -> Column:
+        if feature == "rare":
+            return reduce(lambda a, b: a | b, [F.contains(text, F.lit(part)) for part in RARE])
+        return F.rlike(text, F.lit(FEATURES[feature]))
 
-    def chain(rules: list[Rule]) -> Column:
+    def chain(lacking: tuple[str, ...]) -> Column:
         return reduce(
-            lambda col, rule: F.regexp_replace(col, F.lit(java_pattern(rule)), F.lit(rule.replacement)), rules, text
+            lambda col, rule: F.regexp_replace(col, F.lit(java_pattern(rule)), F.lit(rule.replacement)),
+            _rules_without(rules, lacking),
+            text,
         )
 
-    digit, mark, rest = _branches(select_rules(profile, families))
-    return (
-        F.when(F.rlike(text, F.lit(digit[0])), chain(digit[1]))
-        .when(F.rlike(text, F.lit(mark[0])), chain(mark[1]))
-        .otherwise(chain(rest[1]))
-    )
+    cases = F
+    for present, lacking in ROW_CLASSES:
+        cases = cases.when(reduce(lambda a, b: a & b, map(has, present)), chain(lacking))
+    return cases.otherwise(text)
 
 
 def redact_core(text: Column) -> Column:
@@ -51,19 +59,22 @@ def redact_core(text: Column) -> Column:
 
 def redact_patterns_sql(text: str, profile: str = FULL) -> str:
     """The same expression as SQL text, for function bodies and ``selectExpr``."""
+    rules = select_rules(profile)
+
+    def has(feature: str) -> str:
+        if feature == "rare":
+            return "(" + " OR ".join(f"contains({text}, {literal(part)})" for part in RARE) + ")"
+        return f"rlike({text}, {literal(FEATURES[feature])})"
 
-    def chain(rules: list[Rule]) -> str:
+    def chain(lacking: tuple[str, ...]) -> str:
         return reduce(
             lambda sql, rule: f"regexp_replace({sql}, {literal(java_pattern(rule))}, {literal(rule.replacement)})",
-            rules,
+            _rules_without(rules, lacking),
             text,
         )
 
-    digit, mark, rest = _branches(select_rules(profile))
-    return (
-        f"CASE WHEN rlike({text}, {literal(digit[0])}) THEN {chain(digit[1])} "
-        f"WHEN rlike({text}, {literal(mark[0])}) THEN {chain(mark[1])} ELSE {chain(rest[1])} END"
-    )
+    cases = (f"WHEN {' AND '.join(map(has, present))} THEN {chain(lacking)}" for present, lacking in ROW_CLASSES)
+    return f"CASE {' '.join(cases)} ELSE {text} END"
 
 
 def redact(
