@@ -46,10 +46,8 @@ def redact_patterns(text: Column, profile: str = FULL, families: Iterable[str] |
             text,
         )
 
-    cases = F
-    for present, lacking in ROW_CLASSES:
-        cases = cases.when(reduce(lambda a, b: a & b, map(has, present)), chain(lacking))
-    return cases.otherwise(text)
+    cases = [(reduce(lambda a, b: a & b, map(has, present)), chain(lacking)) for present, lacking in ROW_CLASSES]
+    return reduce(lambda col, case: col.when(*case), cases[1:], F.when(*cases[0])).otherwise(text)
 
 
 def redact_core(text: Column) -> Column:
