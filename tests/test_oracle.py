@@ -4,9 +4,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_points
-from veilframe.plans.registry import TABLES
+from veilframe.plans.registry import TABLES, all_oracles, all_queries
 
-QUERIES, ORACLES = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -27,6 +27,7 @@ def sorted_rows(columns, rows):
 
 
 def test_names_agree():
+    assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) <= set(entry_points.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) - set(ORACLES) == {"documents_with_names"}
 
