@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import line_dedup, mixing, preferences, secret_ledger
+from veilframe.llm import classifier, line_dedup, mixing, preferences, secret_ledger, simhash
 from veilframe.llm.shared import table
 from veilframe.session import scratch_path
 
@@ -20,6 +20,13 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
     return f
 
 
+@query
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = classifier.train(docs, table(spark, sf_dir, "labels"))
+    return classifier.classify(docs, model, ["doc_id"])
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -92,12 +99,14 @@ def _sql(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+ASSIGN = _sql(secret_ledger.RULES[0].pattern)
 ORACLES["op7_secret_ledger"] = f"""
-WITH r(kind, nth, pattern, grp, least) AS (VALUES {", ".join(f"({_sql(r.kind)}, {k}, {_sql(r.pattern)}, {r.group}, {r.least})" for k, r in enumerate(secret_ledger.RULES))}),
+WITH r(kind, nth, pattern, grp, least) AS (
+    VALUES ('assign', 0, {ASSIGN}, 2, 6), ('access', 1, 'AKIA[A-Z0-9]+', 0, 20), ('hex', 2, '[0-9a-f]+', 0, 24)),
 t AS (SELECT doc_id, kind, nth, pattern, grp, least, string_split_regex(coalesce(text, ''), pattern) AS gaps,
              regexp_extract_all(coalesce(text, ''), pattern) AS hits FROM documents, r),
 m AS (SELECT doc_id, kind, nth, least, hits[i] AS hit,
-             CASE WHEN grp = 0 THEN hits[i] ELSE regexp_extract(hits[i], {_sql(secret_ledger.RULES[0].pattern)}, 2) END AS counted,
+             CASE WHEN grp = 0 THEN hits[i] ELSE regexp_extract(hits[i], {ASSIGN}, 2) END AS counted,
              (list_sum(list_transform(gaps[1:i], lambda x: length(x)))
               + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0))::BIGINT AS start
       FROM t, unnest(range(1, len(hits) + 1)) AS u(i)),
@@ -138,3 +147,9 @@ SELECT pair_id, part, nth, role, rendered, "end" - length(rendered) AS start, "e
        CASE WHEN part <> 'prompt' AND role = 'assistant' THEN "end" END AS loss_end
 FROM o WHERE side = 'chosen' OR nth >= common
 """
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
