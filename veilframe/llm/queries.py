@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import classifier, line_dedup, mixing, preferences, secret_ledger, simhash
+from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, preferences, secret_ledger, simhash, spotsigs
 from veilframe.llm.shared import table
 from veilframe.session import scratch_path
 
@@ -153,3 +153,21 @@ FROM o WHERE side = 'chosen' OR nth >= common
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return classes.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query
+def op5_license_patience(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.against_edits(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_spotsigs"] = spotsigs.SQL
+
+
+@query
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
