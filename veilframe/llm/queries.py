@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, preferences, secret_ledger, simhash, spotsigs
+from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, preferences, secret_ledger, simhash, spotsigs, suffix_dedup
 from veilframe.llm.shared import table
 from veilframe.session import scratch_path
 
@@ -171,3 +171,8 @@ ORACLES["op6_spotsigs"] = spotsigs.SQL
 @query
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept")
