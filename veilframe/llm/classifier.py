@@ -256,3 +256,13 @@ def classify(docs: DataFrame, model: Model, key: list[str]) -> DataFrame:
             yield batch[key].assign(p_text=a, p_meta=b, p_good=c, accepted=c >= ACCEPT)
 
     return docs.select(*key, *[F.col(c) for c in COLUMNS if c not in key]).mapInPandas(score, schema)
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` that the model accepts, with all their columns."""
+
+    @F.pandas_udf("boolean")
+    def good(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.Series:
+        return pd.Series(model.score(pd.DataFrame({"text": text, "source": source, "lang": lang, "n_chars": n_chars}))[2] >= ACCEPT)
+
+    return docs.where(good(*COLUMNS))

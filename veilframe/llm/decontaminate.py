@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import islice
 from math import ceil, log
 
@@ -188,14 +189,33 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: list[str], edits: float =
     One row, the best match, for each row of ``docs`` and item whose distance is at most
     ``edits`` of the item's words.
     """
-    out = None
+    found = [_search(docs, items, key) for items in _blocks(benchmark, edits, recall)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, edits: float = EDITS, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns."""
+    for items in _blocks(benchmark, edits, recall):
+        docs = docs.where(_holds_none(items)("text"))
+    return docs
+
+
+def _holds_none(items: Items):
+    @F.pandas_udf("boolean")
+    def holds_none(texts: pd.Series) -> pd.Series:
+        hit = {f[0] for f in items.search(texts.tolist())}
+        return pd.Series([k not in hit for k in range(len(texts))])
+
+    return holds_none
+
+
+def _blocks(benchmark: DataFrame, edits: float, recall: float) -> Iterator[Items]:
+    """The items, at most BLOCK at a time on the driver; one empty block if there are none."""
     rows = benchmark.select("item_id", "text").where("item_id IS NOT NULL AND text IS NOT NULL").toLocalIterator()
-    while (block := list(islice(rows, BLOCK))) or out is None:
-        found = _search(docs, Items([(r["item_id"], r["text"]) for r in block], edits, recall), key)
-        out = found if out is None else out.unionByName(found)
-        if len(block) < BLOCK:
-            break
-    return out
+    block = list(islice(rows, BLOCK))
+    yield Items([(r["item_id"], r["text"]) for r in block], edits, recall)
+    while block := list(islice(rows, BLOCK)):
+        yield Items([(r["item_id"], r["text"]) for r in block], edits, recall)
 
 
 def _search(docs: DataFrame, items: Items, key: list[str]) -> DataFrame:

@@ -223,12 +223,12 @@ def _table(a: list, b: list) -> pd.DataFrame:
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """``docs`` without ``text``, with ``fp`` and ``component_id`` (smallest doc_id reachable by links)."""
+    """``docs`` without ``text``, with ``fp``, ``component`` (names the class) and ``component_id`` (smallest doc_id reachable by links)."""
     rows = stored(fingerprints(docs, size).drop("text"), "fingerprints")
     fps = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
     classes = components(links(fps.select("fp"), distance)).select(F.col("node").alias("n"), "component")
     named = fps.join(classes, F.col("fp") == F.col("n"), "left").select("fp", "first", F.coalesce("component", "fp").alias("component"))
     named = stored(named, "classes")
     least = named.groupBy(F.col("component").alias("c")).agg(F.min("first").alias("component_id"))
-    by_fp = named.join(least, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component_id")
+    by_fp = named.join(least, F.col("component") == F.col("c")).select(F.col("fp").alias("f"), "component", "component_id")
     return rows.join(by_fp, F.col("fp") == F.col("f")).drop("f")
