@@ -82,7 +82,7 @@ def random_texts(n, seed=7):
 def lexicon(request, name_words):
     if request.param == "shared":
         return NameLexicon(name_words)
-    return NameLexicon(name_words, max_shared_bytes=0, hot_copies=2)
+    return NameLexicon(name_words, max_shared_bytes=0)
 
 
 def test_kinds_of_lexicon(name_words):
@@ -126,7 +126,7 @@ def test_many_words_in_one_row(spark, name_words):
     """A row table with many buckets finds every word."""
     words = [f"Na{a}{b}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]
     rows = [(w, True, False, False, False) for w in words]
-    lexicon = NameLexicon(spark.createDataFrame(rows, name_words.schema))
+    lexicon = NameLexicon(spark.createDataFrame(rows, name_words.schema), stop_words=())
     df = spark.createDataFrame([(",".join(words),)], "text string")
     assert redact_names(df, "text", lexicon).first().redacted == ",".join(["[GIVENNAME1]"] * len(words))
 
@@ -175,8 +175,11 @@ def test_sql_functions(spark, name_words):
     assert row.a == "[TITLE] [GIVENNAME1] [LASTNAME1], am [DATE] um [TIME]"
     assert row.b == "Frau Anna Schmidt, am 05.01. um [TIME]"
     assert row.c is None
-    with pytest.raises(ValueError):
-        register_redact(spark, NameLexicon(name_words, max_shared_bytes=0))
+    register_redact(spark, NameLexicon(name_words, max_shared_bytes=0), "redact_joined")
+    texts = spark.createDataFrame([(k, t) for k, t in enumerate([text, text, None, "", "Herr Der kam"])], "k int, t string")
+    texts.createOrReplaceTempView("some_texts")
+    rows = spark.sql("SELECT k, redact(t) AS a, redact_joined(t) AS b FROM some_texts").collect()
+    assert len(rows) == 5 and all(r.a == r.b for r in rows)
 
 
 def test_redact_twice_gives_the_same(spark, name_words):
@@ -194,6 +197,36 @@ def test_no_text_shuffle_with_a_shared_dictionary(spark, name_words):
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_stop_words_are_part_of_every_dictionary(spark):
+    names = spark.createDataFrame([("Der", False, True), ("Schmidt", False, True)], "word string, is_given boolean, is_surname boolean")
+    words = names.selectExpr("*", "false AS is_ambiguous", "false AS is_stop")
+    texts = spark.createDataFrame([("Herr Der kam",), ("Herr Schmidt kam",)], "t string")
+    for limit in (0, 1 << 20):
+        with_list = redact(texts, "t", NameLexicon(words, max_shared_bytes=limit)).collect()
+        assert [r.redacted for r in sorted(with_list)] == ["Herr Der kam", "[TITLE] [LASTNAME1] kam"]
+        without = redact(texts, "t", NameLexicon(words, max_shared_bytes=limit, stop_words=["Schmidt"])).collect()
+        assert [r.redacted for r in sorted(without)] == ["[TITLE] [LASTNAME1] kam", "Herr Schmidt kam"]
+
+
+def test_joined_look_up_reads_the_text_once(spark, sf_dir, name_words):
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").withColumn("m", F.create_map("doc_id", "text"))
+    shared = redact(documents, "text", NameLexicon(name_words))
+    joined = redact(documents, "text", NameLexicon(name_words, max_shared_bytes=0))
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (shared, joined)]
+    assert plans[1].count("regexp_replace(") <= plans[0].count("regexp_replace(")
+    assert "documents.parquet" not in "".join(joined.inputFiles()) and "broadcast" not in plans[1].lower()
+    assert joined.columns == shared.columns
+    rows = [{r.doc_id: (r.m, r.redacted) for r in df.collect()} for df in (shared, joined)]
+    assert rows[0] == rows[1]
+
+
+def test_dropped_dictionary(spark, name_words):
+    lexicon = NameLexicon(name_words)
+    lexicon.drop()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(lexicon.path)
+
+
 def test_flag_sql(spark):
     table = f"array('{lookup.EDGE}', '{lookup.EDGE}')"
     assert spark.sql(f"SELECT {lookup.flag(table, chr(39) + 'Anna' + chr(39))} AS f").first().f == lookup.EDGE

@@ -31,6 +31,9 @@ def test_directory_of_files_is_one_table(spark, tmp_path):
 
 def test_only_queries_run(spark, lineitem):
     for sql in (
+        "DESCRIBE lineitem",
+        "-- x\nSHOW TABLES",
+        "",
         "CREATE VIEW v AS SELECT 1",
         "DROP TABLE lineitem",
         "INSERT INTO lineitem SELECT * FROM lineitem",
@@ -38,8 +41,10 @@ def test_only_queries_run(spark, lineitem):
         "SELECT 1) UNION ALL (SELECT 2",
         "WITH a AS (SELECT 1) INSERT INTO lineitem SELECT * FROM a",
     ):
-        with pytest.raises((ParseException, AnalysisException)):
+        with pytest.raises((ParseException, AnalysisException, ValueError)):
             lineitem.query(sql).collect()
+    for sql in ("SELECT 1 AS a;;", "SELECT 1 AS a; -- done", "SELECT 1 AS a ; /* so; */\n;\n", "/* x */ (SELECT 1 AS a)", "SELECT length(';--') - 2 AS a"):
+        assert lineitem.query(sql).first().a == 1
     assert lineitem.query("SELECT 1 AS a -- done").first().a == 1
     assert lineitem.query(" SELECT 1 AS a ; ").first().a == 1
     ordered = lineitem.query("SELECT DISTINCT l_linenumber AS n FROM lineitem ORDER BY n DESC", max_rows=3)
@@ -74,6 +79,8 @@ def test_records(spark, capsys):
     assert json.loads(queries.records(df).first().json) == {"a": 1, "b": None, "c": "NaN", "d": {"x": None}}
     with pytest.raises(ValueError):
         queries.records(spark.sql("SELECT 1 AS a, 2 AS a"))
+    queries.print_query(spark, "SELECT id FROM range(300)")
+    assert capsys.readouterr().out.count("\n|") == 301
     queries.print_query(spark, "SELECT 19.5 AS fare")
     shown = capsys.readouterr().out
     assert shown.startswith("Query: SELECT 19.5 AS fare\n+----+\n|fare|") and "|19.5|" in shown
@@ -157,6 +164,9 @@ def test_scoring(spark):
     plan = scoring.mismatches(flagged)._jdf.queryExecution().optimizedPlan().toString()
     once = flagged._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_replace(") == once.count("regexp_replace(")
+    nulls = spark.createDataFrame([(None, "a"), ("a", None), (None, None), ("b", "b")], "redacted string, target string")
+    flagged = scoring.flag_matches(nulls.withColumn("source", F.lit("s")))
+    assert scoring.score(flagged).first() == (2, 4) and len(scoring.mismatches(flagged).collect()) == 2
     assert scoring.nth_record(pairs, "n", 1).collect()[1] == ("source", "um 10:00")
 
 
@@ -177,8 +187,8 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path, name_words):
 
     def run():
         lines = stream.read_stream(spark, source, "id bigint, text string", files_per_batch=1)
-        stream.write_available(stream.redact_stream(lines, "text", lexicon), sink, state).awaitTermination()
-        return sorted((r.id, r.redacted) for r in spark.read.parquet(sink).collect())
+        stream.write_available(lines, "text", lexicon, sink, state).awaitTermination()
+        return sorted((r.id, r.redacted) for r in stream.read_redacted(spark, sink).collect())
 
     def add(*rows):
         spark.createDataFrame(rows, "id bigint, text string").coalesce(1).write.mode("append").json(source)
@@ -188,8 +198,12 @@ def test_stream_restarts_where_it_stopped(spark, tmp_path, name_words):
     add((2, "x"))
     add((3, "wie Anna Royer"))
     assert run() == [(1, "[TITLE] [LASTNAME1] um [TIME]"), (2, "x"), (3, "wie [GIVENNAME1] [LASTNAME1]")]
-    with pytest.raises(ValueError):
-        stream.redact_stream(spark.range(1), "id", NameLexicon(name_words, max_shared_bytes=0))
+    lexicon = NameLexicon(name_words, max_shared_bytes=0)
+    add((4, "Frau Anna"))
+    assert run()[3:] == [(4, "[TITLE] [GIVENNAME1]")]
+    (tmp_path / "in" / "bad.json").write_text('{"id": 5}\n')
+    with pytest.raises(Exception, match="missing field"):
+        run()
 
 
 def test_scratch_is_in_the_shared_folder(spark):

@@ -21,12 +21,12 @@ PARTICLE_WORDS = (
     "le", "ten", "ter", "zu", "al", "el", "bin", "ibn",
 )
 
-# Titles after which any capitalised word is a name.
+# After one of these, every capitalised word counts as a name.
 CORE_TITLE = (
     r"(?:Herrn|Herr|Frau|Fräulein|Frl\.?|Dr\.|Prof\.|Doktorin|Doktor|Mrs\.?|Mr\.?|Ms\.?|Miss|Mx\.?|Sir|Dame"
     r"|Madame|Monsieur|Mme\.?|Mlle\.?)"
 )
-# Titles that are ordinary words too; only a listed word after them is a name.
+# These are also ordinary words, so the word that follows has to be in the dictionary.
 EXTENDED_TITLE = (
     r"(?:Gräfin|Graf|Grf\.?|Baronin|Baron|Bar\.?|Freiherr|Freifrau|Fürstin|Fürst|Prinzessin|Prinz|Prz\.?"
     r"|Herzogin|Herzog|Hrz\.?|Erzherzogin|Erzherzog|Ehz\.?|Königin|König|Kön\.?|Kaiserin|Kaiser|Erbprinzessin"
@@ -39,6 +39,7 @@ TITLE = rf"(?:{CORE_TITLE}|{EXTENDED_TITLE})"
 
 # Between a label and its value.
 SEPARATOR = r"""[ \t*"']*[:=>][ \t*"']*"""
+SEPARATORS = (":", "=", ">")  # one of them is part of it
 LABEL_NUMBER = r"(?:[ _]?[1-9])?"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from veilframe.functions.rules import CORE, FULL
 from veilframe.operators.lexicon import NameLexicon
-from veilframe.operators.lookup import needed_words
+from veilframe.operators.lookup import EDGE, FLAG_DIGITS, candidate_words, entry, needed_words, row_table
 from veilframe.operators.names import after_lookup, before_lookup, lookup_steps
 from veilframe.operators.redaction import redact_patterns_sql
 
@@ -20,17 +20,26 @@ def register_redact_core(spark: SparkSession, name: str = "redact_core") -> None
     _create(spark, name, redact_patterns_sql("txt", CORE))
 
 
+def _looked_up(lexicon: NameLexicon, view: str) -> str:
+    """The look-up table of ``txt`` as a subquery on the dictionary, which becomes the view ``view``."""
+    lexicon.flags.createOrReplaceTempView(view)
+    digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
+    hits = f"collect_list(struct(xxhash64(word) AS h, {entry('word', digit)} AS e))"
+    words = f"(SELECT explode({candidate_words('txt')}) AS w) JOIN {view} ON word = w"
+    return f"coalesce((SELECT {row_table(hits)} FROM {words}), array('{EDGE}'))"
+
+
 def register_redact(spark: SparkSession, lexicon: NameLexicon, name: str = "redact") -> None:
     """``redact(text)``: all pattern rules, then the name rules.
 
-    A function sees one value, so it needs a dictionary that is shared as a value;
-    for a larger one use ``operators.redaction.redact`` on the table.
+    With a dictionary that is shared as a value, the look-up is an expression.  With a
+    larger one it is a subquery on the dictionary's table, which Spark turns into joins
+    on the distinct texts.
     """
-    if lexicon.variable is None:
-        raise ValueError("this dictionary is too large for a SQL function")
     _create(spark, f"{name}_patterns", redact_patterns_sql("txt", FULL))
     _create(spark, f"{name}_titles", before_lookup(f"{name}_patterns(txt)"))
-    _create(spark, f"{name}_lexicon", needed_words("txt", lexicon.variable), returns="ARRAY<STRING>")
+    lookup = needed_words("txt", lexicon.variable) if lexicon.variable else _looked_up(lexicon, f"{name}_words")
+    _create(spark, f"{name}_lexicon", lookup, returns="ARRAY<STRING>")
     # Each step is a function over the one before: written as one nested call, the
     # analyzer would resolve the inner calls again at every level.
     call = "txt"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veilframe.functions import word_lists as W
@@ -79,10 +79,17 @@ def ambiguous_names(given: DataFrame, surnames: DataFrame, words: DataFrame, kno
     return as_written.union(lowered.select("word")).distinct()
 
 
+def stop_list(spark: SparkSession) -> DataFrame:
+    """The built-in stop words."""
+    return spark.createDataFrame([(word,) for word in W.STOP_WORDS], "word string")
+
+
 def merge_lists(
-    given: DataFrame, surnames: DataFrame, ambiguous: DataFrame, stop_words: DataFrame
+    given: DataFrame, surnames: DataFrame, ambiguous: DataFrame, stop_words: DataFrame | None = None
 ) -> DataFrame:
-    """The four lists as one table ``name_words``, one row per word."""
+    """The four lists as one table ``name_words``, one row per word; the stop list is the built-in one by default."""
+    if stop_words is None:
+        stop_words = stop_list(given.sparkSession)
     names = ("is_given", "is_surname", "is_ambiguous", "is_stop")
     parts = [
         df.select("word", *[F.lit(name == flag).alias(flag) for flag in names])

@@ -8,44 +8,47 @@ needs, as a small look-up table (see ``operators.lookup``).
   as a session variable.  Spark ships it with the tasks, and the row picks its
   words from it; the text is not shuffled.
 * A larger one stays distributed and is joined with the distinct words of each text.
+  Rows and their texts are written once to the shared folder, so nothing that made
+  them runs again.
 
-Both give the same result, since look-ups are by word.
+Both give the same result, since look-ups are by word.  The built-in stop words are
+part of every dictionary unless others are given.
 """
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
+from copy import copy
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veilframe.functions import word_lists as W
 from veilframe.functions.sqltext import evaluated_once, quoted
 from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, needed_words, row_table
+from veilframe.session import remove_scratch, scratch_path
 
 MAX_SHARED_BYTES = 32 * 1024 * 1024
 WORDS_PER_BUCKET = 4
 # what a word costs besides its own bytes: marks, flag, its share of a bucket
 WORD_OVERHEAD = 16
-# The joined dictionary is spread over so many salts, so a word that occurs in every
-# text does not end up in one task.
-WORD_SALTS = 8
-# A text with this many copies is spread over salts in the join that brings its words
-# back.  There are at most rows / HOT_COPIES such texts, two numbers each, which bounds
-# the broadcast of their hashes (16 MB for 10^12 rows).
-HOT_COPIES = 1_000_000
 
 FLAG_COLUMNS = {"is_given": 1, "is_surname": 2, "is_ambiguous": 4, "is_stop": 8}
 
 
-def word_flags(name_words: DataFrame) -> DataFrame:
-    """``name_words`` with one row per word and the four flags as one number."""
+def word_flags(name_words: DataFrame, stop_words: Iterable[str] = W.STOP_WORDS) -> DataFrame:
+    """``name_words`` and the stop words with one row per word and the four flags as one number."""
     total = sum(
         (F.when(F.col(name), F.lit(bit)).otherwise(F.lit(0)) for name, bit in FLAG_COLUMNS.items()), F.lit(0)
     )
+    stops = [(word, FLAG_COLUMNS["is_stop"]) for word in stop_words]
+    stop_flags = name_words.sparkSession.createDataFrame(stops, "word string, flags int")
     return (
+        name_words.select("word", total.alias("flags"))
+        .union(stop_flags)
         # a word that holds a mark of the look-up table can never be offered
-        name_words.filter(~F.rlike("word", F.lit(f"[{EDGE}{MID}]")))
-        .select("word", total.alias("flags"))
+        .filter(~F.rlike("word", F.lit(f"[{EDGE}{MID}]")))
         .groupBy("word")
         .agg(F.bit_or("flags").cast("int").alias("flags"))
     )
@@ -54,15 +57,20 @@ def word_flags(name_words: DataFrame) -> DataFrame:
 class NameLexicon:
     """A name dictionary, shared as a value when it is small enough.
 
+    Its source is read once; the words with their flags are kept in the shared folder.
     The value lives in the session of ``name_words``; use it with tables of that session.
     """
 
     def __init__(
-        self, name_words: DataFrame, max_shared_bytes: int = MAX_SHARED_BYTES, hot_copies: int = HOT_COPIES
+        self,
+        name_words: DataFrame,
+        max_shared_bytes: int = MAX_SHARED_BYTES,
+        stop_words: Iterable[str] = W.STOP_WORDS,
     ):
-        self.hot_copies = hot_copies
         self.spark: SparkSession = name_words.sparkSession
-        self.flags = word_flags(name_words)
+        self.path = scratch_path(self.spark, "lexicon")
+        word_flags(name_words, stop_words).write.parquet(self.path)
+        self.flags = self.spark.read.schema("word string, flags int").parquet(self.path)
         size = self.flags.agg(
             F.count("*").alias("n"), F.sum(F.octet_length("word") + WORD_OVERHEAD).alias("bytes")
         ).first()
@@ -93,11 +101,20 @@ class NameLexicon:
         self.spark.catalog.dropTempView(name + "_words")
         return name
 
+    def in_session(self, spark: SparkSession) -> NameLexicon:
+        """The same dictionary for tables of another session, such as that of a stream's batches."""
+        other = copy(self)
+        other.spark = spark
+        other.flags = spark.read.schema("word string, flags int").parquet(self.path)
+        other.variable = other._publish() if self.variable else None
+        return other
+
     def drop(self) -> None:
-        """Forget the shared value.  Data frames and functions made with it stay valid until then."""
+        """Forget the shared value and the kept words.  Data frames and functions made with it stay valid until then."""
         if self.variable:
             self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {self.variable}")
             self.variable = None
+        remove_scratch(self.spark, self.path)
 
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
         """Add column ``name``: the look-up table the text in ``column`` needs."""
@@ -108,50 +125,31 @@ class NameLexicon:
     def _attach_joined(self, df: DataFrame, column: str, name: str) -> DataFrame:
         """The same by a join, keyed by a hash of the text.
 
-        Texts that share a hash share a superset of what each needs, which changes no
-        look-up.  Equal pairs of text and word are counted before the first shuffle;
-        the count tells which texts have many copies, and only those are salted.
-        Texts without a capitalised word meet nothing and are spread freely.
+        The rows are written once with that key, under plain column names, and read for
+        both sides of the join.  Texts that share a hash share a superset of what each
+        needs, which changes no look-up.  Equal pairs of text and word are made one
+        before the first shuffle.  A word that stands in very many texts, and a text with
+        very many copies, make skewed joins, which adaptive execution splits by their
+        measured sizes.
         """
-        text = F.col(quoted(column))
-        word_salts = F.sequence(F.lit(0), F.lit(WORD_SALTS - 1))
-        pairs = (
-            df.select(F.xxhash64(text).alias("__k"), F.explode(F.expr(candidate_words(quoted(column)))).alias("word"))
-            .groupBy("__k", "word")
-            .agg(F.count("*").alias("copies"))
-        )
-        hot = (
-            pairs.filter(F.col("copies") >= self.hot_copies)
-            .groupBy("__k")
-            .agg((F.lit(1) + F.floor(F.max("copies") / self.hot_copies)).cast("int").alias("__salts"))
-        )
+        plain = [f"c{k}" for k in range(len(df.columns))]
+        staged = df.withColumn("__k", F.xxhash64(quoted(column))).toDF(*plain, "k")
+        path = scratch_path(self.spark, "texts")
+        staged.write.parquet(path)
+        staged = self.spark.read.schema(staged.schema).parquet(path)
+
+        text = quoted(plain[df.columns.index(column)])
+        pairs = staged.select("k", F.explode(F.expr(candidate_words(text))).alias("word")).distinct()
         digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
         hit = F.struct(F.xxhash64("word").alias("h"), F.expr(entry("word", digit)).alias("e"))
         needed = (
-            pairs.select("__k", "word", F.pmod("__k", F.lit(WORD_SALTS)).cast("int").alias("salt"))
-            .join(self.flags.withColumn("salt", F.explode(word_salts)), ["word", "salt"])
-            .groupBy("__k")
-            .agg(F.collect_list(hit).alias("found"))
-            .select("__k", F.expr(row_table("found")).alias(name))
-            .join(F.broadcast(hot), "__k", "left")
-            .withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)))
-            .drop("__salts")
-        )
-        may_meet = F.rlike(text, F.lit(r"\p{Lu}[\p{Ll}'’]"))
-        keyed = (
-            df.withColumn("__k", F.xxhash64(text))
-            .withColumn("__by", F.xxhash64(*[quoted(c) for c in df.columns]) + F.spark_partition_id())
-            .join(F.broadcast(hot), "__k", "left")
-            .withColumn(
-                "__salt",
-                F.when(may_meet, F.pmod("__by", F.coalesce("__salts", F.lit(1))))
-                .otherwise(F.lit(-1) - F.pmod("__by", F.lit(1 << 20)))
-                .cast("int"),
-            )
-            .drop("__salts", "__by")
+            pairs.join(self.flags, "word")
+            .groupBy("k")
+            .agg(F.collect_list(hit).alias("found"))  # words of one text
+            .select(F.col("k").alias("j"), F.expr(row_table("found")).alias("found"))
         )
         return (
-            keyed.join(needed, ["__k", "__salt"], "left")
-            .withColumn(name, F.coalesce(name, F.array(F.lit(EDGE))))
-            .drop("__k", "__salt")
+            staged.join(needed, F.col("k") == F.col("j"), "left")
+            .select(*plain, F.coalesce("found", F.array(F.lit(EDGE))))
+            .toDF(*df.columns, name)
         )

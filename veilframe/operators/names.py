@@ -71,6 +71,7 @@ class NameRule(NamedTuple):
     out_lead: str = "lead"
     value_end: bool = False  # the value has to end after the sequence
     or_titles: bool = False  # a sequence of titles becomes titles
+    needs: tuple[str, ...] = ()  # a match holds one of these; a text without any is left alone
 
 
 def _prefix(code_regex: str) -> str:
@@ -119,13 +120,28 @@ NAME_RULES: tuple[NameRule, ...] = (
         out_lead=_AS_TITLES.format("lead"),
     ),
     # Labelled given, last and full names.
-    NameRule("N3", _labelled(P.GIVEN_LABEL), first="[ZzDdVvRrFfGgSs\u017fMm]", given="length(names)", start=_LABEL_START),
-    NameRule("N4", _labelled(P.LAST_LABEL), first="[ZzDdNnFfGgSs\u017fLl]", given="0", start=_LABEL_START),
+    NameRule(
+        "N3",
+        _labelled(P.GIVEN_LABEL),
+        first="[ZzDdVvRrFfGgSs\u017fMm]",
+        given="length(names)",
+        start=_LABEL_START,
+        needs=P.SEPARATORS,
+    ),
+    NameRule(
+        "N4",
+        _labelled(P.LAST_LABEL),
+        first="[ZzDdNnFfGgSs\u017fLl]",
+        given="0",
+        start=_LABEL_START,
+        needs=P.SEPARATORS,
+    ),
     NameRule(
         "N5",
         _labelled(P.FULL_LABEL),
         first="[NnFfVvPpTtMmKk\u212aAa]",
         taken=f"if({_any_unambiguous('code')}, code, '')",
+        needs=P.SEPARATORS,
     ),
     # Phrases, greetings and signatures.
     NameRule(
@@ -140,6 +156,7 @@ NAME_RULES: tuple[NameRule, ...] = (
         rf"({P.AUTHOR_PHRASE})({P.name_sequence(3)})",
         first="[AaBbCcEeFfGgHhKk\u212aNnPpSs\u017fUuVvWwZz]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
+        needs=(" von ", " by "),
     ),
     NameRule("N8", rf"({P.GREETING})({P.name_sequence(3)})", first="[LHDSMG]", taken=_prefix(UNAMBIGUOUS_FIRST)),
     NameRule(
@@ -147,6 +164,7 @@ NAME_RULES: tuple[NameRule, ...] = (
         rf"({P.SIGNATURE})({P.name_sequence(3)})",
         first="[BbCcFfgHhKk\u212aLlMmRrSs\u017fVv]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
+        needs=("\n", "\\n", "gez."),
     ),
     # A value that stands alone and is made up of names only.
     NameRule(
@@ -232,7 +250,19 @@ def _apply(marked: str, rewrite: str) -> str:
     return bind(marked, "m", f"if(contains(m, '{EDGE}'), {joined}, m)")
 
 
+def _where_needed(text: str, needs: tuple[str, ...], rewrite: Callable[[str], str]) -> str:
+    """``rewrite`` for texts that hold one of ``needs``; each pass it leaves out is a copy of the text saved."""
+    if not needs:
+        return rewrite(text)
+    held = " OR ".join(f"contains(src, {literal(part)})" for part in needs)
+    return bind(text, "src", f"if({held}, {rewrite('src')}, src)")
+
+
 def _rule_sql(text: str, rule: NameRule, table: str) -> str:
+    return _where_needed(text, rule.needs, lambda source: _rewritten(source, rule, table))
+
+
+def _rewritten(text: str, rule: NameRule, table: str) -> str:
     marked = _marked(text, rule.pattern, rule.first, f"{EDGE}{rule.lead}{MID}{rule.words}{EDGE}")
     if rule.value_end:
         # Tested after the match is made, so that a failed test cannot shorten the
@@ -247,9 +277,13 @@ def _rule_sql(text: str, rule: NameRule, table: str) -> str:
 def _title_field_sql(text: str) -> str:
     """N1: the words after "Titel:".  Lower-case ``title>`` is mostly the title of a
     web page, so there only known titles are replaced."""
-    marked = _marked(text, _TITLE_FIELD, "[TtAaSs\u017f]", f"{EDGE}$1{MID}$2{EDGE}")
     page = f"startswith(lead, 'title>') AND NOT rlike(seq, {_TITLES_ONLY})"
-    return _apply(marked, f"if({page}, lead || seq, lead || {_AS_TITLES.format('seq')})")
+    rewrite = f"if({page}, lead || seq, lead || {_AS_TITLES.format('seq')})"
+
+    def titled(source: str) -> str:
+        return _apply(_marked(source, _TITLE_FIELD, "[TtAaSs\u017f]", f"{EDGE}$1{MID}$2{EDGE}"), rewrite)
+
+    return _where_needed(text, P.SEPARATORS, titled)
 
 
 def before_lookup(text: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -9,13 +11,26 @@ from pyspark.sql.types import StructType
 from veilframe.sources import tables
 
 
+# The parts of a statement: quoted text, what may be left out at its ends, words and other signs.
+_PART = re.compile(
+    r"""(?s)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<gap>\s+|;|--[^\n]*|/\*.*?\*/)|\w+|."""
+)
+QUERY_WORDS = ("SELECT", "WITH", "FROM", "VALUES", "TABLE", "(")
+# The most rows that Spark prints.
+ALL_ROWS = 2**31 - 32
+
+
 def check_query(spark: SparkSession, sql: str) -> str:
-    """The statement without a closing semicolon; anything but a query is an error.
+    """The statement without closing semicolons; anything but a query is an error.
 
-    Inside ``SELECT * FROM (...)`` a command does not parse.  The closing bracket
-    stands on its own line, after a possible comment at the end.
+    A query begins with one of a few words; what else would parse inside ``SELECT *
+    FROM (...)`` is a name, as in ``DESCRIBE nation``.  A command that begins like a
+    query does not parse there.
     """
-    bare = sql.strip().removesuffix(";")
+    parts = [part for part in _PART.finditer(sql) if part["gap"] is None]
+    if not parts or parts[0].group().upper() not in QUERY_WORDS:
+        raise ValueError(f"not a query: {sql.strip()[:80]}")
+    bare = sql[: parts[-1].end()]
     spark.sql(f"SELECT * FROM (\n{bare}\n)")
     return bare
 
@@ -34,10 +49,13 @@ def records(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("json"))
 
 
-def print_query(spark: SparkSession, sql: str, rows: int = 100) -> None:
-    """Echo the query and print its result as a text table."""
+def print_query(spark: SparkSession, sql: str, rows: int | None = None) -> None:
+    """Echo the query and print its whole result as a text table, or its first ``rows`` if asked.
+
+    A text table comes to the driver as a whole, since its width depends on every row.
+    """
     print(f"Query: {sql}")
-    run_query(spark, sql).show(rows, truncate=False)
+    run_query(spark, sql).show(ALL_ROWS if rows is None else rows, truncate=False)
 
 
 class ParquetQueries:

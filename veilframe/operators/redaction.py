@@ -82,8 +82,7 @@ def redact(
     patterns = redact_patterns(F.col(quoted(column)), profile)
     if lexicon is None:
         return evaluated_once(df, patterns, output)
-    text = f"__{output}_patterns"
-    return redact_names(df.withColumn(text, patterns), text, lexicon, output).drop(text)
+    return redact_names(df.withColumn(output, patterns), output, lexicon, output)
 
 
 def redact_names(df: DataFrame, column: str, lexicon: NameLexicon, output: str = "redacted") -> DataFrame:

@@ -12,12 +12,12 @@ def project_pairs(corpus: DataFrame) -> DataFrame:
 
 
 def flag_matches(df: DataFrame, redacted: str = "redacted", target: str = "target") -> DataFrame:
-    """Add ``match``: the redacted text equals the target exactly.
+    """Add ``match``: the redacted text equals the target exactly; null equals null only.
 
     ``redacted`` should come from ``operators.redaction.redact``, whose output later
     filters do not compute again.
     """
-    return df.withColumn("match", F.col(redacted) == F.col(target))
+    return df.withColumn("match", F.col(redacted).eqNullSafe(F.col(target)))
 
 
 def score(flagged: DataFrame) -> DataFrame:
@@ -26,8 +26,8 @@ def score(flagged: DataFrame) -> DataFrame:
 
 
 def mismatches(flagged: DataFrame, *extra: str) -> DataFrame:
-    """The rows that do not match."""
-    return flagged.filter(~F.col("match")).select(*extra, "source", "target", "redacted")
+    """The rows that do not match; a row without a flag is one of them."""
+    return flagged.filter(~F.coalesce("match", F.lit(False))).select(*extra, "source", "target", "redacted")
 
 
 def nth_record(df: DataFrame, order_by: str, n: int) -> DataFrame:

@@ -84,28 +84,30 @@ SPARK: dict[str, str] = {
         FROM probes a JOIN prices b ON a.band = b.band AND b.price BETWEEN a.price - 5 AND a.price + 5
         GROUP BY a.price""",
     # Row number, previous type and running count of each user's events.  A hot user is split
-    # by day: numbers inside the day plus totals of the days before.
+    # by minute: numbers inside the minute plus totals of the minutes before.  Rows without user or
+    # time are a group like any other, so the join is null-safe.
     "sql_window": """
-        WITH e AS (SELECT event_id, user_id, event_type, ts, cast(ts AS date) AS day FROM events),
+        WITH e AS (SELECT event_id, user_id, event_type, ts, date_trunc('MINUTE', ts) AS part FROM events),
         inside AS (
           SELECT *, row_number() OVER w AS rn, lag(event_type) OVER w AS prev,
                  count(CASE WHEN event_type = 'purchase' THEN 1 END) OVER (
-                   PARTITION BY user_id, day ORDER BY ts, event_id
+                   PARTITION BY user_id, part ORDER BY ts, event_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS bought
-          FROM e WINDOW w AS (PARTITION BY user_id, day ORDER BY ts, event_id)),
-        days AS (
-          SELECT user_id, day, count(*) AS n, count(CASE WHEN event_type = 'purchase' THEN 1 END) AS b,
+          FROM e WINDOW w AS (PARTITION BY user_id, part ORDER BY ts, event_id)),
+        parts AS (
+          SELECT user_id, part, count(*) AS n, count(CASE WHEN event_type = 'purchase' THEN 1 END) AS b,
                  max_by(event_type, struct(ts, event_id)) AS last_type
-          FROM e GROUP BY user_id, day),
+          FROM e GROUP BY user_id, part),
         before AS (
-          SELECT user_id, day, coalesce(sum(n) OVER p, 0) AS n_before, coalesce(sum(b) OVER p, 0) AS b_before,
-                 lag(last_type) OVER (PARTITION BY user_id ORDER BY day) AS last_before
-          FROM days
-          WINDOW p AS (PARTITION BY user_id ORDER BY day ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+          SELECT user_id AS u, part AS p, coalesce(sum(n) OVER q, 0) AS n_before,
+                 coalesce(sum(b) OVER q, 0) AS b_before,
+                 lag(last_type) OVER (PARTITION BY user_id ORDER BY part) AS last_before
+          FROM parts
+          WINDOW q AS (PARTITION BY user_id ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
         SELECT event_id, user_id, cast(rn + n_before AS bigint) AS row_num,
                CASE WHEN rn = 1 THEN last_before ELSE prev END AS prev_type,
                cast(bought + b_before AS bigint) AS purchases_so_far
-        FROM inside JOIN before USING (user_id, day)""",
+        FROM inside JOIN before ON user_id <=> u AND part <=> p""",
     "sql_rank": """
         SELECT p_brand, p_type, n_parts,
                rank() OVER (PARTITION BY p_brand ORDER BY n_parts DESC) AS rnk,
@@ -125,9 +127,11 @@ SPARK: dict[str, str] = {
         SELECT n_nationkey AS nationkey FROM nation
         EXCEPT SELECT s_nationkey FROM supplier WHERE s_acctbal > 5000""",
     "sql_intersect_all": """
-        SELECT c_nationkey AS nationkey FROM customer INTERSECT ALL SELECT s_nationkey FROM supplier""",
+        SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F'
+        INTERSECT ALL SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F'""",
     "sql_except_all": """
-        SELECT c_nationkey AS nationkey FROM customer EXCEPT ALL SELECT s_nationkey FROM supplier""",
+        SELECT o_custkey AS custkey FROM orders WHERE o_orderstatus = 'F'
+        EXCEPT ALL SELECT o_custkey FROM orders WHERE o_orderstatus <> 'F'""",
     "sql_subquery": """
         WITH priced AS (SELECT o_custkey, o_orderkey, o_totalprice FROM orders)
         SELECT o_orderkey, o_custkey FROM priced p

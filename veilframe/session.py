@@ -43,6 +43,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/veilframe/{label}-{uuid.uuid4().hex}"
 
 
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``scratch_path`` named, once nothing reads it any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a freshly scanned table that has fewer partitions than cores.
 

@@ -15,11 +15,15 @@ def _read_strict(spark: SparkSession, path: str, schema: str) -> DataFrame:
     Spark's fail-fast mode accepts a missing field, so that is tested on top, in a
     filter, which stays in the plan whatever columns are read later.
     """
-    df = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    return required(spark.read.schema(schema).option("mode", "FAILFAST").json(path))
+
+
+def required(df: DataFrame) -> DataFrame:
+    """``df``, a table or a stream; a null in any column aborts the run."""
     present = F.lit(True)
     for name in df.columns:
         present = present & F.col(name).isNotNull()
-    problem = F.raise_error(F.lit(f"missing field, expected: {schema}")).cast("boolean")
+    problem = F.raise_error(F.lit(f"missing field, expected: {', '.join(df.columns)}")).cast("boolean")
     return df.filter(F.when(present, F.lit(True)).otherwise(problem))
 
 

@@ -21,16 +21,20 @@ def file_facts(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def table_files(df: DataFrame) -> DataFrame:
-    """The files behind a scanned table: name, size, date of change, rows."""
+def table_files(df: DataFrame, paths: bool = False) -> DataFrame:
+    """The files behind a scanned table: name (with ``paths`` the whole path), size, date of change, rows.
+
+    Files are told apart by path, since parts of a partitioned table may share a name.
+    """
     meta = F.col("_metadata")
     modified = F.to_utc_timestamp(meta["file_modification_time"], F.current_timezone())
     return (
         df.select(
-            meta["file_name"].alias("name"), meta["file_size"].alias("size"), _date(modified).alias("modified")
+            meta["file_path"].alias("path"), meta["file_name"].alias("name"), meta["file_size"].alias("size"), _date(modified).alias("modified")
         )
-        .groupBy("name", "size", "modified")
+        .groupBy("path", "name", "size", "modified")
         .agg(F.count("*").alias("n_rows"))
+        .select(F.col("path").alias("name") if paths else "name", "size", "modified", "n_rows")
     )
 
 

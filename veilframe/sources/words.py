@@ -25,12 +25,14 @@ def write_words(words: DataFrame, path: str) -> None:
 
 def read_word_column(spark: SparkSession, path: str) -> DataFrame:
     """A one-column TSV with a header line: distinct cells without blanks and quotes around them."""
+    # Lines end at \n alone.  A line that holds the separator counts as malformed, and the reader keeps it whole in ``raw``.
     lines = (
-        spark.read.schema("line string")
-        .options(header="true", sep="\u0001", quote="", escape="", maxCharsPerColumn="-1", enforceSchema="true")
+        spark.read.schema("line string, raw string")
+        .options(header="true", sep="\ufdd0", lineSep="\n", quote="", escape="", maxCharsPerColumn="-1")
+        .options(enforceSchema="true", columnNameOfCorruptRecord="raw")
         .csv(path)
     )
-    stripped = F.regexp_replace("line", r"(?U)^\s+|\s+\z", "")
+    stripped = F.regexp_replace(F.coalesce("raw", "line"), r"(?U)^\s+|\s+\z", "")
     return (
         lines.select(stripped.alias("line"))
         .filter(F.col("line") != "")

@@ -7,29 +7,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.redaction import redact
+from veilframe.sources.corpus import required
 
 
 def read_stream(spark: SparkSession, path: str, schema: str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON lines as they arrive in a folder; a malformed line stops the stream."""
+    """JSON lines as they arrive in a folder; a malformed line or a missing field stops the stream."""
     reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
-    return reader.json(path)
+    return required(reader.json(path))
 
 
-def redact_stream(stream: DataFrame, column: str, lexicon: NameLexicon) -> DataFrame:
-    """Redaction is per row: no state, no watermark, append mode."""
-    if lexicon.variable is None:
-        raise ValueError("a stream needs a dictionary that is shared as a value")
-    return redact(stream, column, lexicon)
+def write_available(
+    stream: DataFrame, column: str, lexicon: NameLexicon, path: str, checkpoint: str
+) -> StreamingQuery:
+    """Redact what is there and stop; a restart goes on after the last finished batch.
 
+    Each batch is redacted like a table, with a dictionary of any size, and written to
+    its own folder ``path/batch=ID``.  A batch that is run again overwrites itself.
+    """
+
+    own: list[NameLexicon] = []  # the batches of a run share a session, which is not that of the caller
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if not own:
+            own.append(lexicon.in_session(batch.sparkSession))
+        redact(batch, column, own[0]).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-def write_available(redacted: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Process what is there and stop; a restart goes on after the last finished batch."""
     return (
-        redacted.writeStream.format("parquet")
-        .outputMode("append")
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )
+
+
+def read_redacted(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all finished batches, without the number of the batch."""
+    return spark.read.parquet(path).drop("batch")
