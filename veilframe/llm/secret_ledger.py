@@ -43,8 +43,9 @@ RULES = (
         2,
         6,
     ),
-    Rule("access", 1, "AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", 1, "[0-9a-f]+", 0, 24),
+    # a run of these letters is as long as it gets, so the least length can stand in the pattern
+    Rule("access", 1, "AKIA[A-Z0-9]{16,}", 0, 20),
+    Rule("hex", 1, "[0-9a-f]{24,}", 0, 24),
 )
 BLOB, SCANNED, FOUND = "blob string", "blob string, kind string, version int", "blob string, kind string, version int, start long, end long"
 
