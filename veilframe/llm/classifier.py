@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -248,21 +247,19 @@ def _sample(docs: DataFrame, wanted: DataFrame) -> pd.DataFrame:
 
 def classify(docs: DataFrame, model: Model, key: list[str]) -> DataFrame:
     """The columns ``key`` with p_text, p_meta, p_good and accepted, one row for each of ``docs``."""
-    schema = docs.select(*key).schema.add("p_text", "double").add("p_meta", "double").add("p_good", "double").add("accepted", "boolean")
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            a, b, c = model.score(batch)
-            yield batch[key].assign(p_text=a, p_meta=b, p_good=c, accepted=c >= ACCEPT)
-
-    return docs.select(*key, *[F.col(c) for c in COLUMNS if c not in key]).mapInPandas(score, schema)
+    scored = docs.select(*key, _scorer(model)(*COLUMNS).alias("scored_"))
+    return scored.select(*key, "scored_.*", (F.col("scored_.p_good") >= ACCEPT).alias("accepted"))
 
 
 def accepted(docs: DataFrame, model: Model) -> DataFrame:
     """The rows of ``docs`` that the model accepts, with all their columns."""
+    return docs.where(_scorer(model)(*COLUMNS)["p_good"] >= ACCEPT)
+
 
-    @F.pandas_udf("boolean")
-    def good(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.Series:
-        return pd.Series(model.score(pd.DataFrame({"text": text, "source": source, "lang": lang, "n_chars": n_chars}))[2] >= ACCEPT)
+def _scorer(model: Model):
+    @F.pandas_udf("p_text double, p_meta double, p_good double")
+    def score(text: pd.Series, source: pd.Series, lang: pd.Series, n_chars: pd.Series) -> pd.DataFrame:
+        rows = pd.DataFrame({"text": text, "source": source, "lang": lang, "n_chars": n_chars})
+        return pd.DataFrame(dict(zip(("p_text", "p_meta", "p_good"), model.score(rows), strict=True)))
 
-    return docs.where(good(*COLUMNS))
+    return score

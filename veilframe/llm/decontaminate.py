@@ -39,8 +39,10 @@ LEAST, EDITS = 5, 0.2
 SAMPLED, AGREE, RECALL = 3, 0.5, 0.95
 #: Items that are searched at a time.
 BLOCK = 5000
+#: Characters that a task searches at a time.
+AT_ONCE = 1 << 23
 PUNCTUATION = bytes.maketrans(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~", b" " * 32)
-SCHEMA = "item_id long, first_word long, last_word long, n_words long, distance long"
+SCHEMA = "array<struct<item_id: long, first_word: long, last_word: long, n_words: long, distance: long>>"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -136,6 +138,14 @@ class Items:
 
     def search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         """Number of the text and of the item, distance, first and last (exclusive) word of the best match."""
+        done = size = 0
+        for k, text in enumerate(texts, 1):  # so many characters at a time, to bound the arrays
+            size += len(text or "")
+            if size >= AT_ONCE or k == len(texts):
+                yield from ((done + f[0], *f[1:]) for f in self._search(texts[done:k]))
+                done, size = k, 0
+
+    def _search(self, texts: list[str | None]) -> Iterator[tuple[int, int, int, int, int]]:
         ids = [np.array([get(w, 0) for w in words_of(t)], np.int64) for get in [self.words.get] for t in texts]
         gap = np.zeros(max(map(len, self.items), default=0) + 1, np.int64)
         flat = np.concatenate([gap, *[x for i in ids for x in (i, gap)]])
@@ -219,19 +229,12 @@ def _blocks(benchmark: DataFrame, edits: float, recall: float) -> Iterator[Items
 
 
 def _search(docs: DataFrame, items: Items, key: list[str]) -> DataFrame:
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.select(*key).dtypes), SCHEMA])
-
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = list(items.search(batch["text_"].tolist()))
-            doc = [f[0] for f in found]
-            out = batch[key].iloc[doc].reset_index(drop=True)
-            yield out.assign(
-                item_id=[items.ids[f[1]] for f in found],
-                first_word=[f[3] for f in found],
-                last_word=[f[4] for f in found],
-                n_words=[len(items.items[f[1]]) for f in found],
-                distance=[f[2] for f in found],
-            )
-
-    return docs.select(*key, F.col("text").alias("text_")).mapInPandas(search, schema)
+    @F.pandas_udf(SCHEMA)
+    def search(texts: pd.Series) -> pd.Series:
+        out: list[list[dict]] = [[] for _ in range(len(texts))]
+        for doc, k, distance, first, last in items.search(texts.tolist()):
+            n = len(items.items[k])
+            out[doc].append({"item_id": items.ids[k], "first_word": first, "last_word": last, "n_words": n, "distance": distance})
+        return pd.Series(out)
+
+    return docs.select(*key, F.inline(search("text")))

@@ -66,7 +66,14 @@ TEMPLATES = {
         "conditions and the following disclaimer."
     ),
 }
-SCHEMA = "license string, coverage double, matched long, n_words long, first_word long, last_word long"
+COLUMNS = {
+    "license": "string",
+    "coverage": "double",
+    "matched": "long",
+    "n_words": "long",
+    "first_word": "long",
+    "last_word": "long",
+}
 
 
 def _longest_rising(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -172,13 +179,9 @@ def scan_licenses(docs: DataFrame, key: list[str], templates: dict[str, str] = T
     One row, the best notice, for each row of ``docs`` and template that reaches ``coverage``.
     """
     scanner = Templates(templates, coverage)
-    schema = ", ".join([*(f"`{c}` {t}" for c, t in docs.select(*key).dtypes), SCHEMA])
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = [(k, *f) for k, t in enumerate(batch["text_"]) for f in scanner.scan(t)]
-            out = batch[key].iloc[[f[0] for f in found]].reset_index(drop=True)
-            yield out.assign(**{c: [f[n + 1] for f in found] for n, c in enumerate(names)})
+    @F.pandas_udf(f"array<struct<{', '.join(f'{c}: {t}' for c, t in COLUMNS.items())}>>")
+    def scan(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(COLUMNS, f, strict=True)) for f in scanner.scan(t)] for t in texts])
 
-    return docs.select(*key, F.col("text").alias("text_")).mapInPandas(scan, schema)
+    return docs.select(*key, F.inline(scan("text")))
