@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
-from math import comb, log
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -150,7 +150,7 @@ def plan_masks(fps: DataFrame, distance: int = DISTANCE) -> list[int]:
             for b in part:  # elementary symmetric sums of the odds that one bit differs
                 more = [more[0]] + [more[d] + more[d - 1] * (1 / agree[b] - 1) for d in range(1, distance + 1)]
             for t in range(distance + 1):
-                cost[t] = pairs.get(p * 8 + k, 0.0) * sum(more[: t + 1]) + PROBE * n * comb(len(part), t) * (1 + log(n + 1))
+                cost[t] = pairs.get(p * 8 + k, 0.0) * sum(more[: t + 1]) + PROBE * max(n, 1) * comb(len(part), t)
             costs.append(cost)
         spent, chosen = allocate(costs, distance - len(parts) + 1)
         if spent < best[0]:
@@ -158,6 +158,11 @@ def plan_masks(fps: DataFrame, distance: int = DISTANCE) -> list[int]:
     return best[1]
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of differing bits; of signed numbers, numpy would count those of the absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _within(groups: np.ndarray, fps: np.ndarray, distance: int) -> tuple[list, list]:
     """Links among the rows of each group; rows of a group stand together."""
     a, b = [], []
@@ -168,7 +173,7 @@ def _within(groups: np.ndarray, fps: np.ndarray, distance: int) -> tuple[list, l
     while len(at):
         at = at[at + d < len(groups)]
         at = at[groups[at] == groups[at + d]]
-        near = at[np.bitwise_count(fps[at] ^ fps[at + d]) <= distance]
+        near = at[_differing(fps[at], fps[at + d]) <= distance]
         a.append(fps[near])
         b.append(fps[near + d])
         d += 1
@@ -177,7 +182,7 @@ def _within(groups: np.ndarray, fps: np.ndarray, distance: int) -> tuple[list, l
         while len(left):
             reached, left = [left[0]], left[1:]
             while reached and len(left):
-                near = np.bitwise_count(left ^ (one := reached.pop())) <= distance
+                near = _differing(left, one := reached.pop()) <= distance
                 found, left = left[near], left[~near]
                 a.append(np.full(len(found), one))
                 b.append(found)
