@@ -54,8 +54,11 @@ def sql_max_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     sql = """
-        SELECT c_custkey, c_name, c_acctbal, n_orders FROM customer
-        LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) o
+        SELECT c_custkey, c_name, c_acctbal, n_orders, cast(c_custkey % 100 AS decimal(12, 2)) AS cents, last_day,
+               named_struct('key', c_nationkey, 'tags', array(c_mktsegment, null)) AS nested
+        FROM customer
+        LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, cast(max(o_orderdate) AS date) AS last_day
+                   FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) o
           ON o_custkey = c_custkey"""
     return queries.records(parquet_queries(spark, sf_dir, sql).query(sql))
 
@@ -216,13 +219,21 @@ def nth_record(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- dictionaries -------------------------------------------------------------
 
 
+# What a customer is called: hyphen, inner capital after a prefix or not, apostrophe, a known name that is a word too.
+LABEL = """CASE c_custkey % 13 WHEN 1 THEN {plain} || '-K' || {word} WHEN 2 THEN 'McK' || {word}
+               WHEN 3 THEN {plain} || '’a' WHEN 4 THEN {plain} || 'B' WHEN 5 THEN 'Rose' ELSE {plain} END"""
+
+
 def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A knowledge base made from the keys of parts and customers."""
     letters = "translate(lpad(cast({0} AS string), 9, '0'), '0123456789', 'abdefgiklm')"
-    customer = table(spark, sf_dir, "customer").selectExpr(
+    word = letters.format("c_custkey div 3")
+    plain = f"if(c_custkey % 7 = 0, 'x', 'K') || {word}"
+    label = F.expr(LABEL.format(plain=plain, word=word))
+    customer = table(spark, sf_dir, "customer").select("c_custkey", label.alias("label")).selectExpr(
         "concat('C', c_custkey) AS id",
         "element_at(array('Q202444', 'Q101352', 'Q515', 'Q5'), cast(c_custkey % 4 AS int) + 1) AS class",
-        f"concat(if(c_custkey % 7 = 0, 'x', 'K'), {letters.format('c_custkey div 3')}) AS label",
+        "label",
         "if(c_custkey % 11 = 0, 'ru', 'de') AS lang",
     )
     part = table(spark, sf_dir, "part").selectExpr(
@@ -239,8 +250,10 @@ def triples(spark: SparkSession, sf_dir: str) -> DataFrame:
         part.selectExpr("id", "'lexicalForm'", "concat(id, '-F1')", "null"),
         part.selectExpr("concat(id, '-F1')", "'representation'", "form", "null"),
     ]
-    # a filter on ``p`` empties the branches of the other predicates
-    return reduce(DataFrame.union, facts)
+    # Written once: as a plan, every use of a label would repeat the expression that makes it.
+    path = scratch_path(spark, "triples")
+    reduce(DataFrame.union, facts).write.partitionBy("p").parquet(path)
+    return spark.read.schema("s string, o string, lang string, p string").parquet(path)
 
 
 def dictionary_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, ...]:
@@ -391,8 +404,10 @@ _LETTERS = "translate(lpad(cast({0} AS string), 9, '0'), '0123456789', 'abdefgik
 
 
 def _labels(remainder: int, name_words: bool = True) -> str:
-    label = f"(CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE 'K' END) || {_LETTERS.format('c_custkey // 3')}"
-    only = "AND c_custkey % 7 <> 0" if name_words else ""
+    word = _LETTERS.format("c_custkey // 3")
+    label = LABEL.format(plain=f"(CASE WHEN c_custkey % 7 = 0 THEN 'x' ELSE 'K' END) || {word}", word=word)
+    named = "CASE c_custkey % 13 WHEN 2 THEN true WHEN 4 THEN false WHEN 5 THEN true ELSE c_custkey % 7 <> 0 END"
+    only = f"AND {named}" if name_words else ""
     return f"""
         SELECT DISTINCT {label} AS word FROM customer
         WHERE c_custkey % 4 = {remainder} AND c_custkey % 11 <> 0 {only}"""
@@ -405,10 +420,12 @@ def all_oracles() -> dict[str, str]:
             SELECT event_type, user_id, count(*) AS n FROM events GROUP BY 1, 2
             ORDER BY n DESC, event_type, user_id LIMIT 20""",
         "records_json": """
-            SELECT cast(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_acctbal': c_acctbal, 'n_orders': n_orders})
-                        AS varchar) AS json
-            FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders FROM orders WHERE o_orderstatus = 'P'
-                                     GROUP BY o_custkey) ON o_custkey = c_custkey""",
+            SELECT json FROM (SELECT cast(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_acctbal': c_acctbal, 'n_orders': n_orders,
+                                 'cents': '@' || (c_custkey % 100) || '.00@', 'last_day': cast(last_day AS varchar),
+                                 'nested': {'key': c_nationkey, 'tags': [c_mktsegment, null]}}) AS varchar) AS j,
+                   replace(replace(j, '"@', ''), '@"', '') AS json
+            FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n_orders, cast(max(o_orderdate) AS date) AS last_day
+                                     FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey) ON o_custkey = c_custkey)""",
         "table_files": """
             SELECT l_returnflag, l_linenumber, count(*) AS n_rows, true AS agrees
             FROM lineitem GROUP BY l_returnflag, l_linenumber""",
@@ -454,7 +471,8 @@ def all_oracles() -> dict[str, str]:
     ordinary = f"({forms}) UNION ({places})"
     ambiguous = f"""
         SELECT word FROM (({given}) UNION ({surnames})) n
-        WHERE word IN (SELECT word FROM ({ordinary})) OR lower(word) IN (SELECT word FROM ({ordinary}))"""
+        WHERE (word IN (SELECT word FROM ({ordinary})) OR lower(word) IN (SELECT word FROM ({ordinary})))
+          AND NOT list_contains({list(W.KNOWN_NAMES)}, word)"""
     merged = f"""
         SELECT word, bool_or(l = 1) AS is_given, bool_or(l = 2) AS is_surname, bool_or(l = 3) AS is_ambiguous,
                bool_or(l = 4) AS is_stop

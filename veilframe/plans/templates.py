@@ -44,6 +44,8 @@ FAMILIES: dict[str, list[tuple[str, str]]] = {
         (f"'Ausweisnummer: W' || {_pad('k', 7)}", "'Ausweisnummer: [IDCARD]'"),
         (f"""'"id_card": "' || {_pad('k', 10)} || '"'""", """'"id_card": "[IDCARD]"'"""),
         (f"'W' || {_pad('k', 7)}", f"'W' || {_pad('k', 7)}"),
+        (f"'RD' || {_pad('k', 5)} || 'XY und QRS' || {_pad('c', 6)} || 'T'", "'[IDCARD] und [IDCARD]'"),
+        (f"'P' || {_pad('k', 13)} || ', V' || {_pad('c', 7)} || 'W'", "'[IDCARD], [IDCARD]'"),
     ],
     "TAX_ID": [
         (f"'Steuernummer: ' || {_pad('k', 11)}", "'Steuernummer: [TAX_ID]'"),
@@ -174,6 +176,8 @@ NAMES: dict[str, list[tuple[str, str]]] = {
             "Kunde: ", " .",
             "Kunde: [GIVENNAME1] .", "Kunde: [LASTNAME1] .", "Kunde: [GIVENNAME1] .", "Kunde: {w} .", "Kunde: {w} .",
         ),
+        _one("second_name: ", ".", *["second_name: [GIVENNAME2]."] * 5),
+        _one("Dritter Nachname = ", ";", *["Dritter Nachname = [LASTNAME3];"] * 5),
     ],
     "name_phrases": [
         _one(
@@ -199,6 +203,22 @@ NAMES: dict[str, list[tuple[str, str]]] = {
             "x gez. [GIVENNAME1] dort", "x gez. [LASTNAME1] dort", "x gez. [GIVENNAME1] dort", "x gez. {w} dort",
             "x gez. {w} dort",
         ),
+        *[
+            _one(
+                before, after,
+                f"{before}[GIVENNAME1]{after}", f"{before}[LASTNAME1]{after}", f"{before}[GIVENNAME1]{after}",
+                before + "{w}" + after, before + "{w}" + after,
+            )
+            for before, after in (
+                ("bis bald\nBeste Grüße,\n\n", "\nweiter"),
+                ("so kind regards\n", " dort"),
+                ("it was written by ", " then"),
+                ("er wurde erstellt von ", " dort"),
+                ("Dear ", " dort"),
+                ("Guten Tag, ", " dort"),
+                ("Sehr geehrter ", " dort"),
+            )
+        ],
     ],
     "name_delimited": [
         _one(
