@@ -148,17 +148,28 @@ def redact_core_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All rules over the documents, with a dictionary made from their own words."""
-    documents = table(spark, sf_dir, "documents")
-    lexicon = NameLexicon(document_words(documents))
-    result = redact(spread(documents.select("doc_id", "text")), "text", lexicon)
-    tokens = F.regexp_extract_all("redacted", F.lit(r"\[(GIVENNAME|LASTNAME|TITLE)[0-9]*\]"), F.lit(1))
-    return result.select(
-        "doc_id",
-        F.size(F.filter(tokens, lambda t: t == "GIVENNAME")).alias("n_given"),
-        F.size(F.filter(tokens, lambda t: t == "LASTNAME")).alias("n_last"),
-        F.length("redacted").alias("length"),
-    )
+    """Name rules over the documents with a name put before, between and after their lines; the rest must stay."""
+    words = [("Zyxanna", True, False), ("Zyxschmidt", False, True), ("Zyxrose", True, False)]
+    names = spark.createDataFrame(words, "word string, is_given boolean, is_surname boolean")
+    lexicon = NameLexicon(names.selectExpr("*", "word = 'Zyxrose' AS is_ambiguous", "false AS is_stop"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return redact_names(documents.selectExpr("doc_id", f"{placed_names(0)} AS text"), "text", lexicon).drop("text")
+
+
+PLACED = (
+    ("als Herr Zyxschmidt kam. ", "als [TITLE] [LASTNAME1] kam. "),
+    ("\nbald\nViele Grüße,\nZyxanna Zyxschmidt\n", "\nbald\nViele Grüße,\n[GIVENNAME1] [LASTNAME1]\n"),
+    (
+        " wie Zyxanna von Zyxschmidt sagte, nicht Zyxrose allein; Vorname: Zyxrose",
+        " wie [GIVENNAME1] von [LASTNAME1] sagte, nicht Zyxrose allein; Vorname: [GIVENNAME1]",
+    ),
+)
+
+
+def placed_names(member: int) -> str:
+    """SQL for ``text`` with the placed names (member 0) or with what they must become (member 1)."""
+    before, between, after = (case[member] for case in PLACED)
+    return f"'{before}' || replace(text, chr(10), '{between}') || '{after}'"
 
 
 def document_words(documents: DataFrame) -> DataFrame:
@@ -440,6 +451,7 @@ def all_oracles() -> dict[str, str]:
     found["redact_changed_by_language"] = f"""
         SELECT lang, count(*) FILTER (redacted <> text) AS n_changed, count(*) AS n_docs
         FROM (SELECT lang, text, {oracles.chain('text', CORE)} AS redacted FROM documents) GROUP BY lang"""
+    found["documents_with_names"] = f"SELECT doc_id, {placed_names(1)} AS redacted FROM documents"
     dates = templates.FAMILIES["DATE"]
     found["redact_profile_difference"] = f"""
         SELECT o_orderkey, 'am ' || day || '.01. und [TIME] Uhr, 9-[TIME] Uhr' AS core,
