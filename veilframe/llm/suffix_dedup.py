@@ -42,6 +42,8 @@ from veilframe.llm.shared import partitions, row_key, stored
 LENGTH, GRAM = 200, 32
 #: Different contexts of an anchor that one task sorts, and contexts that a task works on at a time.
 HOT, AT_ONCE = 50_000, 20_000
+#: Bytes that a task samples at a time; a longer text is cut, its strings aren't.
+PIECE = 1 << 21
 KEY = ["key_id", "key_hash"]
 
 
@@ -69,6 +71,22 @@ def _anchors(hashes: np.ndarray, length: int) -> np.ndarray:
     return (low - (least & low)).astype(np.int64)
 
 
+def blocks_of(texts: list[bytes], length: int = LENGTH) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Texts, cut into pieces of ``PIECE`` string starts, in blocks of about ``PIECE`` bytes: text, offset and bytes of each piece."""
+    which, offsets, pieces, size = [], [], [], 0
+    for k, text in enumerate(texts):
+        for a in range(0, len(text) - length + 1, PIECE):
+            which.append(k)
+            offsets.append(a)
+            pieces.append(text[a : a + PIECE + length - 1])
+            size += len(pieces[-1])
+            if size >= PIECE:
+                yield which, offsets, pieces
+                which, offsets, pieces, size = [], [], [], 0
+    if pieces:
+        yield which, offsets, pieces
+
+
 def contexts_of(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
     """Number of the text, anchor hash, context hash and packed place (start, anchor, strings) of every anchor."""
     joined = b"".join(texts)
@@ -162,8 +180,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def sample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            row, anchor, context, place = contexts_of([t.encode() for t in batch["text"]], length)
-            yield batch[KEY].iloc[row].assign(anchor=anchor, context=context, place=place)
+            for which, offsets, pieces in blocks_of([t.encode() for t in batch["text"]], length):
+                piece, anchor, context, place = contexts_of(pieces, length)
+                keys = batch[KEY].iloc[np.array(which)[piece]]
+                yield keys.assign(anchor=anchor, context=context, place=place + (np.array(offsets)[piece] << 16))
 
     keyed = docs.where(F.octet_length("text") >= length).select(*row_key(F.col("doc_id"), F.col("text")), "text")
     sampled = stored(keyed.mapInPandas(sample, "key_id long, key_hash long, anchor long, context long, place long"), "anchors")
@@ -247,23 +267,19 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and kept (the bytes that stay), one row for each of ``docs``."""
     spans = repeated_spans(docs, length).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # of one text
     texts = _packed(docs).join(spans.toDF("i", "h", "spans"), (F.col("key_id") == F.col("i")) & (F.col("key_hash") == F.col("h")), "left")
-    kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def remove(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        unpack = zstandard.ZstdDecompressor()
-        for batch in batches:
-            out = []
-            for packed, spans in zip(batch["packed"], batch["spans"], strict=True):
-                text, kept, end, runs = unpack.decompress(packed), [], 0, 0
-                for a, b in sorted((s["start"], s["end"]) for s in spans) if spans is not None else ():
-                    if a > end or not runs:
-                        kept.append(text[end:a])
-                        runs += 1
-                    end = max(end, b)
-                rest = b"".join([*kept, text[end:]])
-                out.append((len(text), len(text) - len(rest), runs, hashlib.sha256(rest).hexdigest(), rest))
-            frame = pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
-            yield pd.concat([batch[["doc_id"]].reset_index(drop=True), frame], axis=1)
-
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    return texts.select("doc_id", "packed", "spans").mapInPandas(remove, schema)
+    @F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    def remove(packed: pd.Series, spans: pd.Series) -> pd.DataFrame:
+        unpack, out = zstandard.ZstdDecompressor(), []
+        for data, found in zip(packed, spans, strict=True):
+            text, kept, end, runs = unpack.decompress(data), [], 0, 0
+            for a, b in sorted((s["start"], s["end"]) for s in found) if found is not None else ():
+                if a > end or not runs:
+                    kept.append(text[end:a])
+                    runs += 1
+                end = max(end, b)
+            rest = b"".join([*kept, text[end:]])
+            out.append((len(text), len(text) - len(rest), runs, hashlib.sha256(rest).hexdigest(), rest))
+        return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+
+    return texts.select("doc_id", remove("packed", "spans").alias("r")).select("doc_id", "r.*")
