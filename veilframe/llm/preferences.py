@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from veilframe.llm.shared import stored
+
 #: Turns of a block of running sums.
 BLOCK = 256
 #: What stands before, between and after role and text of a rendered turn.
@@ -60,7 +62,7 @@ def preference_rows(chosen: DataFrame, rejected: DataFrame, marks: tuple[str, st
     sides = chosen.select(*columns, F.lit("chosen").alias("side")).unionByName(rejected.select(*columns, F.lit("rejected").alias("side")))
     sides = sides.withColumn("block", F.floor(F.col("turn") / BLOCK))
     order = [F.col(c).asc_nulls_last() for c in ("turn", "role", "text")]
-    turns = _running(sides, ["pair_id", "side"], "block", order, F.lit(1), "nth").drop("block", "turn")
+    turns = stored(_running(stored(sides, "sides"), ["pair_id", "side"], "block", order, F.lit(1), "nth").drop("block", "turn"), "turns")
 
     # the first position where the sides differ, or where one ends
     said = F.sha2(F.to_json(F.struct("role", "text")), 256)
@@ -74,7 +76,7 @@ def preference_rows(chosen: DataFrame, rejected: DataFrame, marks: tuple[str, st
     head = F.concat(F.lit(marks[0]), F.coalesce("role", F.lit("")), F.lit(marks[1]))
     rendered = F.concat(head, F.coalesce("text", F.lit("")), F.lit(marks[2]))
     turns = turns.select("pair_id", part.alias("part"), "nth", "role", F.length(head).alias("head"), rendered.alias("rendered"))
-    turns = turns.withColumn("size", F.length("rendered")).withColumn("block", F.floor(F.col("nth") / BLOCK))
+    turns = stored(turns.withColumn("size", F.length("rendered")).withColumn("block", F.floor(F.col("nth") / BLOCK)), "rendered")
     turns = _running(turns, ["pair_id", "part"], "block", [F.col("nth")], F.col("size"), "start")
     prompts = turns.where("part = 'prompt'").groupBy(F.col("pair_id").alias("p")).agg(F.sum("size").alias("prompt"))
     turns = turns.join(prompts, F.col("pair_id").eqNullSafe(F.col("p")), "left")
