@@ -106,7 +106,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST
     edge = edge.select(F.col("s").alias("e"), (F.col("words") <= 2 * F.col("rest")).alias("near"))
     limits = limits.join(edge, F.col("s").eqNullSafe(F.col("e")), "left")
     limits = limits.select("s", (F.col("below") + F.coalesce(F.col("near"), F.lit(False)).cast("long")).alias("below"))
-    shares = targets.join(limits, same, "left").drop("s").withColumnRenamed("source", "t")
+    shares = stored(targets.join(limits, same, "left").drop("s").withColumnRenamed("source", "t"), "shares")
     again = (F.col("hash") < F.coalesce("below", F.lit(0))).cast("long")
     taken = F.col("size") * (F.col("whole") + again)
     return rows.join(shares, F.col("source").eqNullSafe(F.col("t"))).select(
