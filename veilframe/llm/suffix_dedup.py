@@ -187,7 +187,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     keyed = docs.where(F.octet_length("text") >= length).select(*row_key(F.col("doc_id"), F.col("text")), "text")
     sampled = stored(keyed.mapInPandas(sample, "key_id long, key_hash long, anchor long, context long, place long"), "anchors")
-    often = sampled.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # written, so that the join deals both sides itself and can split an anchor that stands very often
+    often = stored(sampled.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"), "often")
     repeated = stored(sampled.join(often, "anchor", "left_semi"), "repeated")
 
     one = F.min(F.struct("key_id", "key_hash", "place")).alias("one")
