@@ -17,6 +17,7 @@ def components(links: DataFrame) -> DataFrame:
     node: smallest neighbours are partial aggregates, joined back.  A link to itself keeps
     its node; an empty table gives no row.
     """
+    links = stored(links.select("a", "b"), "links")  # read three times
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
     edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges, before = stored(edges, "links"), None
