@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from veilframe.llm import near_copies, simhash
+from veilframe.llm import line_dedup, near_copies, simhash
 
 WORDS = [f"w{k}" for k in range(400)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -75,3 +75,41 @@ def test_classes_of_a_bucket_are_joined_through_any_member():
             return [root.index(r) for r in root]
 
         assert parts(zip(a, b, strict=True)) == parts([(i, j) for i in range(30) for j in range(i) if alike(sets[i], sets[j])])
+
+
+def plain_cut(texts, words=50, lines=3):
+    """What is left of ``texts`` (id: text): later runs of ``lines`` lines, and of fewer with over ``words`` words."""
+    split = {i: t.split("\n") for i, t in texts.items()}
+    gone, owner = {i: set() for i in texts}, {}
+    for i in sorted(texts):
+        owner.setdefault(texts[i], i)
+    for depth in range(1, lines + 1):
+        first = {}
+        for i in sorted(split):
+            for k in range(len(split[i]) - depth + 1):
+                run = split[i][k : k + depth]
+                if depth < lines and sum(len(x.split()) for x in run) <= words:
+                    continue
+                here = (i, k) if depth == lines else (owner[texts[i]], k)
+                if first.setdefault(tuple(run), here) != here:
+                    gone[i] |= set(range(k, k + depth))
+    return {i: "\n".join(x for k, x in enumerate(split[i]) if k not in gone[i]) for i in texts if len(gone[i]) < len(split[i])}
+
+
+def test_short_runs_of_many_words_are_cut(spark):
+    rng = random.Random(13)
+    line = lambda n: " ".join(rng.choices(WORDS, k=n))
+    p, q, half, rest, fifty = line(51), line(80), line(30), line(21), line(50)
+    texts = [
+        f"{line(5)}\n{p}\n{line(5)}", f"{p}\n{line(9)}\n{p}", p, p, q, q, f"{line(4)}\n{q}", f"{half}\n{rest}\n{line(3)}",
+        f"x\n{half}\n{rest}", f"{half}\ny\n{rest}", f"{fifty}\na", f"{fifty}\nb", "", "", f"{q}\nz\n{q}", f"{q}\nz\n{q}", f"{q}\nz\n{q}\nend",
+    ]
+    for _ in range(40):
+        texts.append("\n".join(rng.choice([p, q, half, rest, fifty, "a", "b", line(2)]) for _ in range(rng.randint(1, 6))))
+    texts = dict(enumerate(texts))
+    rows = corpus_pipeline.lines(spark, table_of(spark, texts.values()), "").collect()
+    expected = plain_cut(texts)
+    assert {r.doc_id: r.text for r in rows} == expected and all(r.n_chars == len(r.text) for r in rows)
+    assert expected[1] != texts[1] and 2 not in expected and expected[5] == q and 8 in expected and expected[8] == "x"
+    assert expected[9] == texts[9] and expected[11] == texts[11]
+    assert line_dedup.dedup_lines(table_of(spark, [p, f"{p}\na"])).where("text = 'a'").count() == 0  # the query's own rule

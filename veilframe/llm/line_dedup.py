@@ -6,7 +6,11 @@ places ``depth`` apart give the rank to twice the depth.  A place whose rank nob
 can't start a repeat and is discarded, so later rounds see only repeated lines.  Places of
 equal rank at depth ``min_lines`` are the intervals of the array whose common prefix is that
 long; all but the first place of an interval are later copies, and overlapping copies join to
-maximal runs.
+maximal runs.  The array is truncated at that depth: longer common prefixes aren't computed.
+
+With ``min_words`` a run of fewer lines counts too if it has more words than that; then the depth
+grows line by line, and the ranks at each smaller depth give these.  For them rows of equal text
+are one: all lose what the first of them loses, and dropping copies of whole texts is left to others.
 
 Line ids are 128 bits of hash.  Lines end at ``\\n``.  "First" goes by document id, then by a
 hash of the text, then by line.
@@ -18,10 +22,12 @@ first; an empty table gives no row; other columns are kept.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import fresh, row_key, running_total, stored
+from veilframe.llm.shared import fresh, row_key, running_total, stored, word_count
 
 #: Lines that a repeated run has at least.
 MIN_LINES = 3
@@ -32,43 +38,73 @@ def lines_of(text: Column) -> Column:
     return F.split(text, "\n", -1)
 
 
-def ranked(places: DataFrame, by: list[str]) -> DataFrame:
-    """``places`` that share ``by`` with another, with their rank instead of it."""
+def ranked(places: DataFrame, by: list[str], *more: str) -> DataFrame:
+    """``places`` that share ``by`` with another, with their rank instead of it, and the columns ``more``."""
     groups = places.groupBy(*by).agg(F.count("*").alias("n")).where("n > 1")
     ranks = running_total(groups, by, "n", "smaller").select(*by, "smaller")
-    return places.join(ranks, by).select(*PLACE, F.col("smaller").alias("rank"))
+    return places.join(ranks, by).select(*PLACE, F.col("smaller").alias("rank"), *more)
 
 
-def suffix_intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """key_id, key_hash, pos, rank: places that share ``min_lines`` lines with others of their rank."""
-    text = F.col("text")
+def rounds(docs: DataFrame, min_lines: int, words: bool) -> Iterator[tuple[int, DataFrame]]:
+    """Depths up to ``min_lines``, each with its places (key_id, key_hash, pos, rank) that share so many lines with others.
+
+    With ``words`` all depths, and the places have ``line_words`` (of their line) and ``run_words`` (to the depth).
+    """
+    text, counts = F.col("text"), ["line_words", "run_words"] if words else []
     lines = docs.where(text.isNotNull()).select(*row_key(F.col("doc_id"), text), F.posexplode(lines_of(text)).alias("pos", "line"))
-    ids = lines.select(*PLACE, F.xxhash64(F.lit(1), "line").alias("a"), F.xxhash64(F.lit(2), "line").alias("b"))
-    active, depth = stored(ranked(ids, ["a", "b"]).dropDuplicates(PLACE), "ranks"), 1
+    ids = lines.select(*PLACE, F.xxhash64(F.lit(1), "line").alias("a"), F.xxhash64(F.lit(2), "line").alias("b"), *[word_count(F.col("line")).alias(c) for c in counts])
+    active, depth = stored(ranked(ids, ["a", "b"], *counts).dropDuplicates(PLACE), "ranks"), 1
+    yield depth, active
     while depth < min_lines:
-        step = min(depth, min_lines - depth)
-        ahead = active.select("key_id", "key_hash", (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
-        active, depth = stored(ranked(active.join(ahead, PLACE), ["rank", "next"]), "ranks"), depth + step
+        step = 1 if words else min(depth, min_lines - depth)
+        ahead = active.select("key_id", "key_hash", (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"), *[F.col(c).alias("rest_words") for c in counts[1:]])
+        both = active.join(ahead, PLACE)
+        if words:
+            both = both.withColumn("run_words", F.col("line_words") + F.col("rest_words"))
+        active, depth = stored(ranked(both, ["rank", "next"], *counts), "ranks"), depth + step
+        yield depth, active
+
+
+def suffix_intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+    """key_id, key_hash, pos, rank: places that share ``min_lines`` lines with others of their rank."""
+    *_, (_, active) = rounds(docs, min_lines, words=False)
     return active
 
 
-def later_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """key_id, key_hash, start, end (exclusive): maximal runs of lines that are later copies."""
-    places = suffix_intervals(docs, min_lines)
+def wordy_copies(places: DataFrame, depth: int, min_words: int) -> DataFrame:
+    """key_id, key_hash, start, end (exclusive): runs of ``depth`` lines and more than ``min_words`` words that are later copies."""
+    long = places.where(F.col("run_words") > min_words).select(*PLACE, "rank")
+    owners = long.groupBy(F.col("key_hash").alias("text_hash")).agg(F.min("key_id").alias("owner"))  # the first row of each text
+    owned = long.join(owners, F.col("key_hash") == F.col("text_hash"))
+    place = F.struct("owner", "key_hash", "pos")
+    first = owned.groupBy("rank").agg(F.min(place).alias("first"))
+    later = owned.join(first, "rank").where(place != F.col("first"))
+    return later.select("key_id", "key_hash", F.col("pos").alias("start"), (F.col("pos") + depth).alias("end"))
+
+
+def later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """key_id, key_hash, start, end (exclusive): maximal runs of lines that are later copies.
+
+    With ``min_words`` also shorter runs of more words; these may overlap the others.
+    """
+    *shorter, (_, places) = rounds(docs, min_lines, min_words is not None)
     first = places.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"))
     later = places.join(first, "rank").where(F.struct(*PLACE) != F.col("first"))
     doc = Window.partitionBy("key_id", "key_hash").orderBy("pos")
     apart = F.coalesce(F.col("pos") > F.lag("pos").over(doc) + min_lines, F.lit(True))
     runs = later.select(*PLACE, apart.cast("int").alias("new")).withColumn("run", F.sum("new").over(doc))
-    return runs.groupBy("key_id", "key_hash", "run").agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end")).drop("run")
+    runs = runs.groupBy("key_id", "key_hash", "run").agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end")).drop("run")
+    for depth, short in shorter if min_words is not None else []:
+        runs = runs.union(wordy_copies(short, depth, min_words))
+    return runs
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, counts: tuple[str, str] | None = None) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, counts: tuple[str, str] | None = None, min_words: int | None = None) -> DataFrame:
     """``docs`` with the later runs taken out of ``text``.
 
     ``counts`` names two more columns, for the lines before and for those deleted.
     """
-    runs = later_runs(docs, min_lines).groupBy("key_id", "key_hash").agg(F.collect_list(F.struct("start", "end")).alias("r"))
+    runs = later_runs(docs, min_lines, min_words).groupBy("key_id", "key_hash").agg(F.collect_list(F.struct("start", "end")).alias("r"))
     i, h, j, k, cut, kept = fresh(docs, "row_id", "row_hash", "join_id", "join_hash", "cut_runs", "kept_lines")
     key_id, key_hash = row_key(F.col("doc_id"), F.col("text"))
     keyed = docs.withColumns({i: key_id, h: key_hash})
