@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from veilframe.llm import line_dedup, near_copies, simhash
+from veilframe.llm import classifier, line_dedup, near_copies, simhash
 
 WORDS = [f"w{k}" for k in range(400)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -113,3 +113,9 @@ def test_short_runs_of_many_words_are_cut(spark):
     assert expected[1] != texts[1] and 2 not in expected and expected[5] == q and 8 in expected and expected[8] == "x"
     assert expected[9] == texts[9] and expected[11] == texts[11]
     assert line_dedup.dedup_lines(table_of(spark, [p, f"{p}\na"])).where("text = 'a'").count() == 0  # the query's own rule
+
+
+@pytest.mark.parametrize("text", ["Abcdefg" * 20, "abcdefG" * 20, "ÄÖx", "aB", "", "x" * 50])
+def test_upper_case_counts_every_letter(text):
+    share = classifier.shape_of(text, classifier.words_of(text))[0]
+    assert share == pytest.approx(sum(c.isupper() for c in text) / max(len(text), 1))

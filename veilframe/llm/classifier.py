@@ -59,7 +59,7 @@ def shape_of(text: str, words: Counter) -> list[float]:
     lines = [x for x in text.split("\n") if x.strip()]
     marks = sum(not (c.isalnum() or c.isspace()) for c in set(text)) / 10
     return [
-        sum(c.isupper() for c in text[::7]) * 7 / n,
+        sum(text.count(c) for c in set(text) if c.isupper()) / n,
         text.count("!") / total,
         (text.count("|") + text.count("#") + text.count("*") + text.count("%")) / total,
         text.count(".") / total,
