@@ -5,7 +5,7 @@ import random
 import pytest
 
 import corpus_pipeline
-from veilframe.llm import classifier, line_dedup, near_copies, simhash
+from veilframe.llm import classifier, line_dedup, near_copies, simhash, spotsigs
 
 WORDS = [f"w{k}" for k in range(400)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -119,3 +119,12 @@ def test_short_runs_of_many_words_are_cut(spark):
 def test_upper_case_counts_every_letter(text):
     share = classifier.shape_of(text, classifier.words_of(text))[0]
     assert share == pytest.approx(sum(c.isupper() for c in text) / max(len(text), 1))
+
+
+def test_near_pairs_cover_texts_without_spots(spark):
+    rng = random.Random(14)
+    base = rng.sample(WORDS, 200)
+    texts = [base, ["another", "start", *base[2:]], [*base[:2], *rng.sample(WORDS, 200)]]
+    df = spark.createDataFrame([(" ".join(t),) for t in texts], "text string")
+    (pair,) = spotsigs.near_pairs(df).collect()
+    assert pair.likeness > 0.9

@@ -9,6 +9,10 @@ is the set of the signatures' hashes, and two sets are as alike as their Jaccard
 enough to be alike lie in one partition or the next; inside they meet on their rarest
 signatures only, and are compared in full after a look at their lengths.
 
+A text with fewer than one spot for every ``SPARSE`` words (lists, code, other languages) is hardly
+covered by its spots.  ``near_pairs`` takes each word of it with the next ``CHAIN`` as a signature,
+too; the query, whose SQL is fixed, does not.
+
 Words are runs of ASCII letters, digits and all other letters; A-Z is lower-cased.
 
 Defined cases: a null text is empty; a text without words has an empty fingerprint, which is 1
@@ -38,12 +42,14 @@ COMMON = ANCHORS + (
 ).split()
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Words for each spot, from which on ``near_pairs`` takes all words of a text.
+SPARSE = 16
 #: Two sets are alike from this coefficient on.
 ALIKE = 0.8
 
 
-def signatures(words: Column) -> Column:
-    """The distinct signatures' hashes (8 hex digits), sorted, from the words of a text."""
+def signatures(words: Column, whole: bool = False) -> Column:
+    """The distinct signatures' hashes (8 hex digits), sorted, from the words of a text; ``whole``: sparse texts in full."""
 
     def chain(word: Column, nth: Column) -> Column:
         content = F.filter(F.slice(words, nth + 2, F.lit(LOOK)), lambda w: ~w.isin(COMMON))
@@ -51,6 +57,9 @@ def signatures(words: Column) -> Column:
         return F.when(word.isin(ANCHORS) & (F.size(spot) == CHAIN + 1), F.array_join(spot, " "))
 
     spots = F.array_compact(F.transform(words, chain))
+    if whole:
+        every = F.transform(words, lambda _, nth: F.array_join(F.slice(words, nth + 1, F.lit(CHAIN + 1)), " "))
+        spots = F.when(F.size(spots) * SPARSE < F.size(words), F.concat(spots, every)).otherwise(spots)
     first = F.array_join(F.concat(F.array(F.lit("^")), F.slice(words, 1, CHAIN)), " ")
     spots = F.concat(spots, F.when(F.size(words) > 0, F.array(first)).otherwise(F.array().cast("array<string>")))
     return F.sort_array(F.array_distinct(F.transform(spots, lambda s: F.substring(F.md5(s), 1, 8))))
@@ -60,9 +69,9 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
+def fingerprint(df: DataFrame, text: str, out: str, whole: bool = False) -> DataFrame:
     """Add ``out``: the fingerprint of ``text`` as hashes joined by commas."""
-    return df.withColumn(out, words_of(F.col(text))).withColumn(out, F.array_join(signatures(F.col(out)), ","))
+    return df.withColumn(out, words_of(F.col(text))).withColumn(out, F.array_join(signatures(F.col(out), whole), ","))
 
 
 def _set(fingerprint: Column) -> Column:
@@ -143,7 +152,7 @@ def near_pairs(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
     Equal fingerprints are one; join them back to the documents for membership.
     """
     sets = stored(
-        fingerprint(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text", "fp").where("fp <> ''").select("fp").distinct(), "sets"
+        fingerprint(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text", "fp", whole=True).where("fp <> ''").select("fp").distinct(), "sets"
     )
     sets = sets.select(F.xxhash64("fp").alias("id"), "fp", _set(F.col("fp")).alias("s"))
     sets = stored(sets.withColumn("n", F.size("s")), "sets")
