@@ -156,6 +156,20 @@ def documents_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return redact_names(documents.selectExpr("doc_id", f"{placed_names(0)} AS text"), "text", lexicon).drop("text")
 
 
+def documents_with_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rules over the documents, with a dictionary made from their own words; SQL can't express it."""
+    documents = table(spark, sf_dir, "documents")
+    lexicon = NameLexicon(document_words(documents))
+    result = redact(spread(documents.select("doc_id", "text")), "text", lexicon)
+    tokens = F.regexp_extract_all("redacted", F.lit(r"\[(GIVENNAME|LASTNAME|TITLE)[0-9]*\]"), F.lit(1))
+    return result.select(
+        "doc_id",
+        F.size(F.filter(tokens, lambda t: t == "GIVENNAME")).alias("n_given"),
+        F.size(F.filter(tokens, lambda t: t == "LASTNAME")).alias("n_last"),
+        F.length("redacted").alias("length"),
+    )
+
+
 PLACED = (
     ("als Herr Zyxschmidt kam. ", "als [TITLE] [LASTNAME1] kam. "),
     ("\nbald\nViele Grüße,\nZyxanna Zyxschmidt\n", "\nbald\nViele Grüße,\n[GIVENNAME1] [LASTNAME1]\n"),
