@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, ngram_join, preferences, secret_ledger, simhash, spotsigs, suffix_dedup
+from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, ngram_join, phrases, preferences, secret_ledger, simhash, spotsigs, suffix_dedup
 from veilframe.llm.shared import table
 from veilframe.session import scratch_path
 
@@ -181,3 +181,11 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLES["op12_collocations"] = phrases.SQL
