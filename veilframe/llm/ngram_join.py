@@ -123,7 +123,7 @@ def sketches(docs: DataFrame, levels: Broadcast, size: int, share: int) -> DataF
         rows = []
         for text in texts:
             h = ngrams(text, size)
-            first = ordered(h, levels.value)[: prefix_length(len(h), share)].view(np.int64) if len(h) else []
+            first = ordered(h, levels.value)[: prefix_length(len(h), share)].view(np.int64).copy() if len(h) else []  # a copy lets go of the rest
             rows.append((xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None, len(h), first, histogram(h)))
         return pd.DataFrame(rows, columns=["node", "n", "prefix", "histogram"])
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.llm.ngram_join import BITS, bit_filter, in_filter
-from veilframe.llm.shared import running_total, stored
+from veilframe.llm.shared import pack, running_total, stored, unpack
 
 #: Words of a phrase at most, and occurrences at least.
 WIDEST, LEAST = 5, 100
@@ -58,15 +58,6 @@ def tokens(text: str | None) -> list[bytes]:
     return [w for w in data.split(b" ") if w]
 
 
-def pack(numbers: np.ndarray) -> bytes:
-    """Numbers from -1 on as four planes of bytes, which compress well since most numbers are small."""
-    return (numbers + 1).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def unpack(planes: bytes) -> np.ndarray:
-    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel().astype(np.int64) - 1
-
-
 class _Chunk:
     def __init__(self) -> None:
         self.numbers = defaultdict(count().__next__)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, ngram_join, phrases, preferences, secret_ledger, simhash, spotsigs, suffix_dedup
+from veilframe.llm import classifier, decontaminate, licenses, line_dedup, mixing, ngram_join, phrases, preferences, secret_ledger, simhash, spotsigs, suffix_dedup, token_alignment
 from veilframe.llm.shared import table
 from veilframe.session import scratch_path
 
@@ -189,3 +189,8 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op12_collocations"] = phrases.SQL
+
+
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf_dir, "documents").select("doc_id", "text"))
