@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veilframe.sources import corpus
+
 
 def project_pairs(corpus: DataFrame) -> DataFrame:
     """``source`` and ``target`` of a raw corpus."""
@@ -30,6 +32,15 @@ def mismatches(flagged: DataFrame, *extra: str) -> DataFrame:
     return flagged.filter(~F.coalesce("match", F.lit(False))).select(*extra, "source", "target", "redacted")
 
 
+def nth_record_fields(records: DataFrame, order_by: str, n: int) -> DataFrame:
+    """All keys and values of the record at position ``n`` (from 0) in the order of the key ``order_by``, a whole number.
+
+    ``records`` is what ``corpus.read_records`` returns; records without the key come first.
+    """
+    row = records.orderBy(corpus.field(order_by, kind="bigint"), F.to_json("record")).offset(n).limit(1)
+    return corpus.record_fields(row).select("key", "value")
+
+
 def nth_record(df: DataFrame, order_by: str, n: int) -> DataFrame:
     """The row at position ``n`` (from 0) in the order of ``order_by``, as key/value rows."""
     row = df.orderBy(order_by).offset(n).limit(1)

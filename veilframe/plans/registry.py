@@ -13,7 +13,7 @@ from veilframe.functions import scalars
 from veilframe.functions import word_lists as W
 from veilframe.functions.register import register_redact, register_redact_core
 from veilframe.functions.rules import CORE, FULL
-from veilframe.operators import dictionaries, queries, scoring
+from veilframe.operators import conversations, dictionaries, distinct_counts, ordered, queries, scoring
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.redaction import redact, redact_core, redact_names, redact_patterns
 from veilframe.plans import acceptance, oracles, templates
@@ -80,6 +80,36 @@ def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# --- what a plain window, join or DISTINCT would do in one task or by copying rows ---
+
+
+def cheaper_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many parts of its brand are cheaper than each part, and the sum of their prices."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.col("p_retailprice").cast("decimal(15,2)").alias("price"))
+    below = ordered.sums_below(parts, parts, ["p_brand"], "price", {"n_cheaper": F.lit(1), "sum_cheaper": F.col("price")})
+    joined = parts.join(below.toDF("b", "p", "n_cheaper", "sum_cheaper"), F.col("p_brand").eqNullSafe(F.col("b")) & F.col("price").eqNullSafe(F.col("p")))
+    return joined.select("p_partkey", "n_cheaper", F.col("sum_cheaper").cast("double").alias("sum_cheaper"))
+
+
+def sliding_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number and value of each user's events in the seven days up to each event."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", F.col("value").cast("decimal(15,2)").alias("amount"))
+    sums = ordered.sliding_sums(events, ["user_id"], "ts", "7 DAYS", {"n_week": F.lit(1), "value_week": F.col("amount")})
+    return sums.select("event_id", "n_week", F.col("value_week").cast("double").alias("value_week"))
+
+
+def running_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event's place among all events, and how many purchases there were up to it."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts", (F.col("event_type") == "purchase").cast("int").alias("bought"))
+    return ordered.running_sums(events, [], ["ts", "event_id"], {"place": F.lit(1), "purchases": F.col("bought")}).select("event_id", "place", "purchases")
+
+
+def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct users by event type and day, by type, and of all events."""
+    events = table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("day"), "user_id")
+    return distinct_counts.rollup_distinct(events, ["event_type", "day"], "user_id", "n_users")
+
+
 # --- redaction ----------------------------------------------------------------
 
 
@@ -241,6 +271,33 @@ def nth_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.nth_record(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"), "doc_id", 5)
 
 
+def mixed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw corpus whose lines differ in their keys, and nest, written as JSON lines and read with all keys."""
+    path = scratch_path(spark, "records")
+    lines = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("row_id"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("source_text"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.struct(F.col("o_custkey").alias("by"), F.array("o_orderstatus", F.lit("ü")).alias("tags"))).alias("meta"),
+        F.when(F.col("o_orderkey") % 5 == 0, F.lit(True)).alias("it's checked"),
+    )
+    lines.select(F.to_json(F.struct("*")).alias("value")).write.text(path)  # nulls are left out
+    return corpus.read_records(spark, path)
+
+
+def record_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = mixed_records(spark, sf_dir).withColumn("row_id", corpus.field("row_id", kind="bigint"))
+    return corpus.record_fields(records, "row_id").drop("pos")
+
+
+def record_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = corpus.field("meta", "tags", 0).alias("first_tag")
+    return mixed_records(spark, sf_dir).select(corpus.field("row_id", kind="bigint").alias("row_id"), corpus.field("meta").alias("meta"), tags)
+
+
+def nth_record_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.nth_record_fields(mixed_records(spark, sf_dir), "row_id", 30)
+
+
 # --- dictionaries -------------------------------------------------------------
 
 
@@ -346,6 +403,10 @@ def chat_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asked.select("conv_id", "turn", scalars.chat_request("small", F.col("text")).alias("request"))
 
 
+def chat_conversations(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    return conversations.conversation_requests(table(spark, sf_dir, "conversations"), "small", "conv_id", ["turn"], **limits)
+
+
 def chat_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
     answered = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
     message = F.struct(F.struct(F.col("role"), F.col("text").alias("content")).alias("message"))
@@ -378,6 +439,10 @@ def all_queries() -> dict[str, Query]:
         "sql_max_rows": sql_max_rows,
         "records_json": records_json,
         "table_files": table_files,
+        "cheaper_parts": cheaper_parts,
+        "events_sliding_week": sliding_week,
+        "events_running_count": running_count,
+        "events_distinct_users": distinct_users,
     }
     found |= {f"redact_{family.lower()}": partial(redact_family, family=family) for family in templates.FAMILIES}
     texts = {
@@ -409,6 +474,9 @@ def all_queries() -> dict[str, Query]:
         "mismatches": mismatches,
         "corpus_files": corpus_files,
         "nth_record": nth_record,
+        "record_fields": record_fields,
+        "record_projection": record_projection,
+        "nth_record_fields": nth_record_fields,
         "lists_given": partial(list_words, part=0),
         "lists_surnames": partial(list_words, part=1),
         "lists_ordinary_words": partial(list_words, part=2),
@@ -420,6 +488,8 @@ def all_queries() -> dict[str, Query]:
         "word_column": word_column,
         "scalar_functions": scalar_functions,
         "chat_requests": chat_requests,
+        "chat_conversations": chat_conversations,
+        "chat_conversation_parts": partial(chat_conversations, part=600),
         "chat_answers": chat_answers,
     }
     return found
@@ -454,6 +524,20 @@ def all_oracles() -> dict[str, str]:
         "table_files": """
             SELECT l_returnflag, l_linenumber, count(*) AS n_rows, true AS agrees
             FROM lineitem GROUP BY l_returnflag, l_linenumber""",
+        "cheaper_parts": """
+            SELECT p.p_partkey, count(q.p_partkey) AS n_cheaper, cast(coalesce(sum(cast(q.p_retailprice AS decimal(15, 2))), 0) AS double) AS sum_cheaper
+            FROM part p LEFT JOIN part q ON q.p_brand = p.p_brand AND q.p_retailprice < p.p_retailprice GROUP BY p.p_partkey""",
+        "events_sliding_week": """
+            SELECT event_id, count(*) OVER w AS n_week, cast(sum(cast(value AS decimal(15, 2))) OVER w AS double) AS value_week
+            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW)""",
+        "events_running_count": """
+            SELECT event_id, row_number() OVER w AS place,
+                   cast(sum(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) OVER w AS bigint) AS purchases
+            FROM events WINDOW w AS (ORDER BY ts, event_id)""",
+        "events_distinct_users": """
+            SELECT event_type, day, CASE grouping(event_type, day) WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END::INT AS grouping_level,
+                   count(DISTINCT user_id) AS n_users
+            FROM (SELECT event_type, cast(ts AS date) AS day, user_id FROM events) GROUP BY ROLLUP (event_type, day)""",
     }
     for family, cases in templates.FAMILIES.items():
         found[f"redact_{family.lower()}"] = templates.texts_sql(cases, 1, "redacted")
@@ -490,6 +574,7 @@ def all_oracles() -> dict[str, str]:
                CASE WHEN t.o_orderkey % 10 = 0 THEN expected || ' ü' ELSE expected END AS target
         FROM ({templates.texts_sql(PHONE, 0, 'text')}) t
         JOIN ({templates.texts_sql(PHONE, 1, 'expected')}) e ON t.o_orderkey = e.o_orderkey) p"""
+    message = "cast(to_json({'role': coalesce(role, ''), 'content': coalesce(text, '')}) AS varchar)"
     given, surnames, places = _labels(0), _labels(1), _labels(2, name_words=False)
     forms = f"""
         SELECT DISTINCT 'k' || {_LETTERS.format('p_partkey')} AS word FROM part
@@ -518,6 +603,20 @@ def all_oracles() -> dict[str, str]:
             SELECT unnest(['doc_id', 'lang', 'source', 'text']) AS "key",
                    unnest([cast(doc_id AS varchar), lang, source, text]) AS "value"
             FROM (SELECT * FROM documents ORDER BY doc_id LIMIT 1 OFFSET 5)""",
+        "record_fields": """
+            SELECT row_id, "key", "value" FROM (
+            SELECT o_orderkey AS row_id, unnest(['it''s checked', 'meta', 'row_id', 'source_text']) AS "key", unnest(vs) AS "value"
+            FROM (SELECT *, [CASE WHEN o_orderkey % 5 = 0 THEN 'true' END,
+                             CASE WHEN o_orderkey % 3 = 0 THEN '{"by":' || o_custkey || ',"tags":["' || o_orderstatus || '","ü"]}' END,
+                             cast(o_orderkey AS varchar), CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END] AS vs FROM orders))
+            WHERE "value" IS NOT NULL""",
+        "record_projection": """
+            SELECT o_orderkey AS row_id, CASE WHEN o_orderkey % 3 = 0 THEN '{"by":' || o_custkey || ',"tags":["' || o_orderstatus || '","ü"]}' END AS meta,
+                   CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS first_tag FROM orders""",
+        "nth_record_fields": """
+            SELECT unnest(['it''s checked', 'meta', 'row_id', 'source_text']) AS "key",
+                   unnest(['true', '{"by":' || o_custkey || ',"tags":["' || o_orderstatus || '","ü"]}', cast(o_orderkey AS varchar), o_orderpriority]) AS "value"
+            FROM (SELECT * FROM orders ORDER BY o_orderkey LIMIT 1 OFFSET 30)""",
         "lists_given": given,
         "lists_surnames": surnames,
         "lists_ordinary_words": ordinary,
@@ -543,6 +642,18 @@ def all_oracles() -> dict[str, str]:
             SELECT conv_id, turn,
                    cast(to_json({'model': 'small', 'messages': [{'role': 'user', 'content': text}]}) AS varchar) AS request
             FROM conversations WHERE role = 'user'""",
+        "chat_conversations": f"""
+            SELECT conv_id, 0::BIGINT AS part, count(*) AS n_turns,
+                   '{{"model":"small","messages":[' || string_agg({message}, ',' ORDER BY turn NULLS FIRST, {message}) || ']}}' AS request
+            FROM conversations GROUP BY conv_id""",
+        "chat_conversation_parts": f"""
+            WITH m AS (SELECT conv_id, {message} AS message, turn FROM conversations),
+            r AS (SELECT *, length(message) + 1 AS size, sum(length(message) + 1) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, message) AS until,
+                         sum(length(message) + 1) OVER (PARTITION BY conv_id) AS total, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, message) AS nth FROM m)
+            SELECT conv_id, ((until - size) // 600)::BIGINT AS part, count(*) AS n_turns,
+                   CASE WHEN min(nth) = 1 THEN '{{"model":"small","messages":[' ELSE ',' END || string_agg(message, ',' ORDER BY nth)
+                     || CASE WHEN max(until) = max(total) THEN ']}}' ELSE '' END AS request
+            FROM r GROUP BY conv_id, part""",
         "chat_answers": """
             SELECT conv_id, turn, text AS answer, cast(length(text) + 1 AS bigint) AS total_tokens
             FROM conversations WHERE role = 'assistant'""",

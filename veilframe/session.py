@@ -49,6 +49,13 @@ def remove_scratch(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` below the shared folder and read it again, so that it is computed once and keeps its partitions' content."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Repartition a freshly scanned table that has fewer partitions than cores.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PAIR_SCHEMA = "source string, target string"
@@ -32,8 +32,31 @@ def read_pairs(spark: SparkSession, path: str) -> DataFrame:
     return _read_strict(spark, path, PAIR_SCHEMA)
 
 
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines with whatever keys they have: one VARIANT column ``record``, an object in each row.
+
+    Keys may differ from line to line and nest; nothing is inferred, so nothing is read twice.  A line
+    that is no JSON object aborts the run.
+    """
+    raw = spark.read.option("singleVariantColumn", "record").option("mode", "FAILFAST").json(path)
+    is_object = F.schema_of_variant("record").startswith("OBJECT")
+    problem = F.raise_error(F.lit("a line is no JSON object")).cast("boolean")
+    return raw.filter(F.when(is_object, F.lit(True)).otherwise(problem))
+
+
+def field(*path: str | int, kind: str = "string") -> Column:
+    """The value at a path of keys and places in ``record``: null where it is missing or of another kind, an object or array as JSON."""
+    return F.try_variant_get("record", "$" + "".join(f"[{step!r}]" for step in path), kind)
+
+
+def record_fields(records: DataFrame, *keep: str) -> DataFrame:
+    """One row for each key of each record: ``keep``, pos (place in the order of keys), key, value (as text; null for null)."""
+    exploded = records.select(*keep, "record").lateralJoin(records.sparkSession.tvf.variant_explode(F.col("record").outer()))
+    return exploded.select(*keep, "pos", "key", F.col("value").cast("string").alias("value"))
+
+
 def read_raw_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """The two text columns of a raw corpus; further keys are not read."""
+    """The two text columns of a raw corpus; ``read_records`` reads all keys."""
     return _read_strict(spark, path, RAW_SCHEMA)
 
 
