@@ -9,8 +9,9 @@ long; all but the first place of an interval are later copies, and overlapping c
 maximal runs.  The array is truncated at that depth: longer common prefixes aren't computed.
 
 With ``min_words`` a run of fewer lines counts too if it has more words than that; then the depth
-grows line by line, and the ranks at each smaller depth give these.  For them rows of equal text
-are one: all lose what the first of them loses, and dropping copies of whole texts is left to others.
+grows line by line, and the ranks at each smaller depth give these.  With ``whole_texts`` rows of equal
+text are one for them: all lose what the first of them loses, and dropping copies of whole texts is
+left to others.
 
 Line ids are 128 bits of hash.  Lines end at ``\\n``.  "First" goes by document id, then by a
 hash of the text, then by line.
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 
 from veilframe.llm.shared import fresh, row_key, running_total, stored, word_count
 
-#: Lines that a repeated run has at least.
-MIN_LINES = 3
+#: Lines that a repeated run has at least, and words from which on, one more, it may have fewer lines.
+MIN_LINES, MIN_WORDS = 3, 50
 PLACE = ["key_id", "key_hash", "pos"]
 
 
@@ -71,9 +72,17 @@ def suffix_intervals(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return active
 
 
-def wordy_copies(places: DataFrame, depth: int, min_words: int) -> DataFrame:
+def later_places(places: DataFrame) -> DataFrame:
+    """All places but the first of each rank."""
+    first = places.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"))
+    return places.join(first, "rank").where(F.struct(*PLACE) != F.col("first"))
+
+
+def wordy_copies(places: DataFrame, depth: int, min_words: int, whole_texts: bool) -> DataFrame:
     """key_id, key_hash, start, end (exclusive): runs of ``depth`` lines and more than ``min_words`` words that are later copies."""
     long = places.where(F.col("run_words") > min_words).select(*PLACE, "rank")
+    if not whole_texts:
+        return later_places(long).select("key_id", "key_hash", F.col("pos").alias("start"), (F.col("pos") + depth).alias("end"))
     owners = long.groupBy(F.col("key_hash").alias("text_hash")).agg(F.min("key_id").alias("owner"))  # the first row of each text
     owned = long.join(owners, F.col("key_hash") == F.col("text_hash"))
     place = F.struct("owner", "key_hash", "pos")
@@ -82,29 +91,30 @@ def wordy_copies(places: DataFrame, depth: int, min_words: int) -> DataFrame:
     return later.select("key_id", "key_hash", F.col("pos").alias("start"), (F.col("pos") + depth).alias("end"))
 
 
-def later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+def later_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None, whole_texts: bool = False) -> DataFrame:
     """key_id, key_hash, start, end (exclusive): maximal runs of lines that are later copies.
 
     With ``min_words`` also shorter runs of more words; these may overlap the others.
     """
     *shorter, (_, places) = rounds(docs, min_lines, min_words is not None)
-    first = places.groupBy("rank").agg(F.min(F.struct(*PLACE)).alias("first"))
-    later = places.join(first, "rank").where(F.struct(*PLACE) != F.col("first"))
+    later = later_places(places)
     doc = Window.partitionBy("key_id", "key_hash").orderBy("pos")
     apart = F.coalesce(F.col("pos") > F.lag("pos").over(doc) + min_lines, F.lit(True))
     runs = later.select(*PLACE, apart.cast("int").alias("new")).withColumn("run", F.sum("new").over(doc))
     runs = runs.groupBy("key_id", "key_hash", "run").agg(F.min("pos").alias("start"), (F.max("pos") + min_lines).alias("end")).drop("run")
     for depth, short in shorter if min_words is not None else []:
-        runs = runs.union(wordy_copies(short, depth, min_words))
+        runs = runs.union(wordy_copies(short, depth, min_words, whole_texts))
     return runs
 
 
-def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, counts: tuple[str, str] | None = None, min_words: int | None = None) -> DataFrame:
+def dedup_lines(
+    docs: DataFrame, min_lines: int = MIN_LINES, counts: tuple[str, str] | None = None, min_words: int | None = None, whole_texts: bool = False
+) -> DataFrame:
     """``docs`` with the later runs taken out of ``text``.
 
     ``counts`` names two more columns, for the lines before and for those deleted.
     """
-    runs = later_runs(docs, min_lines, min_words).groupBy("key_id", "key_hash").agg(F.collect_list(F.struct("start", "end")).alias("r"))
+    runs = later_runs(docs, min_lines, min_words, whole_texts).groupBy("key_id", "key_hash").agg(F.collect_list(F.struct("start", "end")).alias("r"))
     i, h, j, k, cut, kept = fresh(docs, "row_id", "row_hash", "join_id", "join_hash", "cut_runs", "kept_lines")
     key_id, key_hash = row_key(F.col("doc_id"), F.col("text"))
     keyed = docs.withColumns({i: key_id, h: key_hash})

@@ -30,14 +30,15 @@ def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup.dedup_lines(docs, counts=("n_lines", "n_deleted"))
+    return line_dedup.dedup_lines(docs, counts=("n_lines", "n_deleted"), min_words=line_dedup.MIN_WORDS)
 
 
-ORACLES["op2_line_dedup"] = """
+ORACLES["op2_line_dedup"] = r"""
 WITH l AS (SELECT doc_id, text, string_split(text, chr(10)) AS ls FROM documents),
-w AS (SELECT doc_id, i, ls[i:i + 2] AS run FROM l, unnest(range(1, len(ls) - 1)) AS u(i)),
-f AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM w),
-d AS (SELECT DISTINCT doc_id, i + k AS i FROM f, (VALUES (0), (1), (2)) AS s(k) WHERE copy > 1),
+w AS (SELECT doc_id, i, n, ls[i:i + n - 1] AS run FROM l, (VALUES (1), (2), (3)) AS s(n), unnest(range(1, len(ls) - n + 2)) AS u(i)),
+r AS (SELECT * FROM w WHERE n = 3 OR len(regexp_extract_all(array_to_string(run, chr(10)), '[^\x20\x09-\x0D]+')) > 50),
+f AS (SELECT doc_id, i, n, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS copy FROM r),
+d AS (SELECT DISTINCT doc_id, i + k AS i FROM f, (VALUES (0), (1), (2)) AS s(k) WHERE copy > 1 AND k < n),
 g AS (SELECT doc_id, list(i) AS gone FROM d GROUP BY doc_id)
 SELECT l.doc_id,
        CASE WHEN gone IS NULL THEN text
