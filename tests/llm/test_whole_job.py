@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from veilframe.llm import classifier, line_dedup, near_copies, simhash, spotsigs
@@ -52,13 +53,28 @@ def test_near_copies_against_all_pairs(spark, monkeypatch, block):
     texts += ["", None, " \n", "one two", "One  two", "one two three"]
     rng.shuffle(texts)
     monkeypatch.setattr(near_copies, "BLOCK", block)
-    kept = corpus_pipeline.near_duplicates(spark, table_of(spark, texts), "").collect()
-    assert sorted(r.doc_id for r in kept) == first_of_classes(texts)
+    kept = near_copies.firsts(table_of(spark, texts)).collect()
+    assert sorted(r.key_id for r in kept) == first_of_classes(texts)
     sets = [shingles(t) for t in texts]
     far = [1 for a in range(len(texts)) for b in range(a) if alike(sets[a], sets[b]) and (simhash.fingerprint(texts[a]) ^ simhash.fingerprint(texts[b])).bit_count() > 3]
     assert far  # pairs that links of three bits don't hold
 
 
+def test_one_document_of_each_simhash_group_stays(spark):
+    rng, texts = random.Random(15), ["", None, "one two", "One two"]
+    for _ in range(12):
+        base = rng.choices(WORDS, k=rng.randint(3, 200))
+        texts += [" ".join(base), " ".join(base[:-1]), " ".join([*base, "end"]), " ".join(base)]
+    rng.shuffle(texts)
+    prints, root = [simhash.fingerprint(t) for t in texts], list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
+                root = [min(root[a], root[b]) if r in (root[a], root[b]) else r for r in root]
+    kept = corpus_pipeline.near_duplicates(spark, table_of(spark, texts), "").collect()
+    assert sorted(r.doc_id for r in kept) == sorted(set(root)) and len(kept) < len(texts) - 12
+
+
 def test_classes_of_a_bucket_are_joined_through_any_member():
     rng = random.Random(12)
     for _ in range(30):
@@ -121,6 +137,45 @@ def test_upper_case_counts_every_letter(text):
     assert share == pytest.approx(sum(c.isupper() for c in text) / max(len(text), 1))
 
 
+def test_fingerprints_stand_for_whole_texts(spark):
+    """No anchor in these texts; another half gives another fingerprint."""
+    rng = random.Random(16)
+    for n in (10, 40, 500):
+        base = rng.sample(WORDS * 2, n)
+        docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(base[: n // 2] + rng.sample(WORDS * 2, n - n // 2))), (3, None)], "doc_id long, text string")
+        rows = {r.doc_id: r for r in spotsigs.against_edits(docs).collect()}
+        assert 0.1 < rows[1].near_next < 0.6 and rows[2].near_edited < 1 and rows[1].fingerprint != rows[2].fingerprint
+        assert rows[1].n_signatures >= 0.8 * n
+
+
+@pytest.mark.parametrize("hot", [None, 7])
+def test_neighbours_of_hot_ids(spark, hot):
+    rng = random.Random(17)
+    rows = [(hot, f"text {k}") for k in range(400)] + [(k, f"other {k}") for k in range(0, 1000, 3)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = spotsigs.with_next(docs)
+    pairs = {r.text: r.next_text for r in got.collect()}
+    chain, at = [], "other 0"
+    while at not in chain:
+        chain.append(at)
+        at = pairs[at]
+    assert at == "other 0" and len(chain) == len(rows) == len(pairs)  # one ring
+    ids = dict((t, i) for i, t in rows)
+    order = [ids[t] for t in chain]
+    assert order == sorted(order, key=lambda i: (i is None, i or 0))
+    parts = docs.select("doc_id", F.xxhash64("text").alias("tie")).withColumn("range", spotsigs._ranges(docs.select("doc_id", F.xxhash64("text").alias("tie")), 8))
+    held = [r["count"] for r in parts.groupBy("range").count().collect()]
+    assert max(held) < 0.25 * len(rows)
+
+
+def test_passages_of_over_50_words_go_from_the_query(spark, sf_dir):
+    line = lambda n, seed: " ".join(random.Random(seed).choices(WORDS, k=n))
+    texts = [f"{line(51, 1)}\na", f"b\n{line(51, 1)}", f"{line(50, 2)}\na", f"{line(50, 2)}\nb", line(60, 3), line(60, 3), f"{line(30, 4)}\n{line(25, 5)}", f"c\n{line(30, 4)}\n{line(25, 5)}\nd"]
+    df = line_dedup.dedup_lines(table_of(spark, texts), counts=("n", "gone"), min_words=line_dedup.MIN_WORDS)
+    assert {r.doc_id: (r.text, r.gone) for r in df.collect()} == {k: (t, 0) for k, t in enumerate(texts)} | {1: ("b", 1), 5: ("", 1), 7: ("c\nd", 2)}
+
+
 def test_near_pairs_cover_texts_without_spots(spark):
     rng = random.Random(14)
     base = rng.sample(WORDS, 200)

@@ -1,18 +1,15 @@
 """Document fingerprints by spot signatures.
 
 A signature is an anchor (a very common word) with the chain of the next ``CHAIN`` content words
-after it; common words in between are skipped.  The start of a text is an anchor too, followed
-by its first words of any kind, so that every text with words has a signature.  The fingerprint
-is the set of the signatures' hashes, and two sets are as alike as their Jaccard coefficient.
+after it; common words in between are skipped.  The fingerprint is the set of the signatures' hashes,
+and two sets are as alike as their Jaccard coefficient.  A text with fewer than one spot for every ``SPARSE`` words
+(lists, code, other languages, texts of a few words) is hardly covered by its spots; there each word with the next
+``CHAIN`` is a signature, too, so that every fingerprint stands for its whole text.
 
 ``near_pairs`` finds alike sets.  Sets are dealt to partitions by length so that those long
 enough to be alike lie in one partition or the next; inside they meet on their rarest
 signatures only, and are compared in full after a look at their lengths.
 
-A text with fewer than one spot for every ``SPARSE`` words (lists, code, other languages) is hardly
-covered by its spots.  ``near_pairs`` takes each word of it with the next ``CHAIN`` as a signature,
-too; the query, whose SQL is fixed, does not.
-
 Words are runs of ASCII letters, digits and all other letters; A-Z is lower-cased.
 
 Defined cases: a null text is empty; a text without words has an empty fingerprint, which is 1
@@ -23,6 +20,8 @@ next; an empty table gives no row; other columns are not read.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,36 +41,39 @@ COMMON = ANCHORS + (
 ).split()
 WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Words for each spot, from which on ``near_pairs`` takes all words of a text.
+#: Words for each spot, from which on all words of a text are taken.
 SPARSE = 16
 #: Two sets are alike from this coefficient on.
 ALIKE = 0.8
 
 
-def signatures(words: Column, whole: bool = False) -> Column:
-    """The distinct signatures' hashes (8 hex digits), sorted, from the words of a text; ``whole``: sparse texts in full."""
+def spots_of(words: Column) -> Column:
+    """Each anchor of a text's words with its chain, in order."""
 
     def chain(word: Column, nth: Column) -> Column:
         content = F.filter(F.slice(words, nth + 2, F.lit(LOOK)), lambda w: ~w.isin(COMMON))
         spot = F.concat(F.array(word), F.slice(content, 1, CHAIN))
         return F.when(word.isin(ANCHORS) & (F.size(spot) == CHAIN + 1), F.array_join(spot, " "))
 
-    spots = F.array_compact(F.transform(words, chain))
-    if whole:
-        every = F.transform(words, lambda _, nth: F.array_join(F.slice(words, nth + 1, F.lit(CHAIN + 1)), " "))
-        spots = F.when(F.size(spots) * SPARSE < F.size(words), F.concat(spots, every)).otherwise(spots)
-    first = F.array_join(F.concat(F.array(F.lit("^")), F.slice(words, 1, CHAIN)), " ")
-    spots = F.concat(spots, F.when(F.size(words) > 0, F.array(first)).otherwise(F.array().cast("array<string>")))
-    return F.sort_array(F.array_distinct(F.transform(spots, lambda s: F.substring(F.md5(s), 1, 8))))
+    return F.array_compact(F.transform(words, chain))
+
+
+def signatures(spots: Column, words: Column) -> Column:
+    """The distinct signatures' hashes (8 hex digits), sorted."""
+    every = F.transform(words, lambda _, nth: F.array_join(F.slice(words, nth + 1, F.lit(CHAIN + 1)), " "))
+    taken = F.when(F.size(spots) * SPARSE < F.size(words), F.concat(spots, every)).otherwise(spots)
+    return F.sort_array(F.array_distinct(F.transform(taken, lambda s: F.substring(F.md5(s), 1, 8))))
 
 
 def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(text, UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
-def fingerprint(df: DataFrame, text: str, out: str, whole: bool = False) -> DataFrame:
+def fingerprint(df: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``: the fingerprint of ``text`` as hashes joined by commas."""
-    return df.withColumn(out, words_of(F.col(text))).withColumn(out, F.array_join(signatures(F.col(out), whole), ","))
+    rows = df.withColumn(out, words_of(F.col(text)))
+    rows = rows.withColumn("spots_", spots_of(F.col(out)))  # used twice, so computed in a step of its own
+    return rows.withColumn(out, F.array_join(signatures(F.col("spots_"), F.col(out)), ",")).drop("spots_")
 
 
 def _set(fingerprint: Column) -> Column:
@@ -85,6 +87,26 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(total == 0, 1.0).otherwise(both / total)
 
 
+def _ranges(rows: DataFrame, n: int) -> Column:
+    """Numbers that grow with the order of ``rows`` (doc_id, null last, then tie) and hold about one n-th of them each.
+
+    Bounds are percentiles of the ids.  An id that is several bounds at once, or null, holds more than
+    a share; its rows are dealt on by their tie, a hash, whose range is cut evenly.
+    """
+    shares = F.array(*[F.lit(k / n) for k in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
+    found = rows.agg(F.percentile_approx("doc_id", shares).alias("b"), F.count_if(F.col("doc_id").isNull()).alias("nulls"), F.count("*").alias("n")).first()
+    bounds = Counter(found["b"] or [])
+    distinct = sorted(bounds)
+    inside = F.size(F.filter(F.array(*[F.lit(b) for b in distinct]).cast("array<long>"), lambda b: b < F.col("doc_id")))
+    base = F.coalesce(F.when(F.col("doc_id").isNotNull(), inside), F.lit(len(distinct) + 1))
+    parts = F.lit(1)
+    for hot in (b for b in distinct if bounds[b] > 1):
+        parts = F.when(F.col("doc_id") == hot, F.lit(bounds[hot] + 1)).otherwise(parts)
+    parts = F.when(F.col("doc_id").isNull(), F.lit(1 + n * found["nulls"] // max(found["n"], 1))).otherwise(parts)
+    part = F.least(F.floor((F.col("tie") / F.lit(2.0**64) + 0.5) * parts), parts - 1)
+    return base.cast("long") * (n + 2) + part
+
+
 def with_next(docs: DataFrame) -> DataFrame:
     """doc_id, text, fp of ``docs`` and next_text, next_fp of the next document by id; after the last comes the first.
 
@@ -93,11 +115,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
-    n = partitions(docs.sparkSession)
-    shares = F.array(*[F.lit(k / n) for k in range(1, n)]) if n > 1 else F.array(F.lit(0.5))
-    bounds = rows.agg(F.percentile_approx("doc_id", shares).alias("b")).first()["b"] or []
-    inside = F.size(F.filter(F.array(*[F.lit(b) for b in sorted(set(bounds))]).cast("array<long>"), lambda b: b < F.col("doc_id")))
-    rows = rows.withColumn("range", F.coalesce(F.when(F.col("doc_id").isNotNull(), inside), F.lit(len(bounds) + 1)))
+    rows = rows.withColumn("range", _ranges(rows, partitions(docs.sparkSession)))
 
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "tie")
     firsts = rows.groupBy("range").agg(F.min(order).alias("first"))  # a row for each range
@@ -152,7 +170,7 @@ def near_pairs(docs: DataFrame, alike: float = ALIKE) -> DataFrame:
     Equal fingerprints are one; join them back to the documents for membership.
     """
     sets = stored(
-        fingerprint(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text", "fp", whole=True).where("fp <> ''").select("fp").distinct(), "sets"
+        fingerprint(docs.select(F.coalesce("text", F.lit("")).alias("text")), "text", "fp").where("fp <> ''").select("fp").distinct(), "sets"
     )
     sets = sets.select(F.xxhash64("fp").alias("id"), "fp", _set(F.col("fp")).alias("s"))
     sets = stored(sets.withColumn("n", F.size("s")), "sets")
@@ -181,9 +199,11 @@ def _sql_fingerprint(text: str) -> str:
     words = f"regexp_extract_all(translate({text}, '{UPPER}', '{LOWER}'), '{WORD}')"
     chain = f"[w[i]] || list_filter(w[i + 1:i + {LOOK}], lambda x: NOT list_contains({sql_list(COMMON)}, x))[1:{CHAIN}]"
     spots = f"list_filter(list_transform(range(1, len(w) + 1), lambda i: {chain}), lambda s: len(s) = {CHAIN + 1} AND list_contains({sql_list(ANCHORS)}, s[1]))"
-    spots = f"list_transform({spots}, lambda s: array_to_string(s, ' ')) || CASE WHEN len(w) > 0 THEN ['^ ' || array_to_string(w[1:{CHAIN}], ' ')] ELSE [] END"
-    hashes = f"list_sort(list_distinct(list_transform({spots}, lambda s: substr(md5(s), 1, 8))))"
-    return f"(SELECT {hashes} FROM (SELECT {words} AS w))"
+    spots = f"list_transform({spots}, lambda s: array_to_string(s, ' '))"
+    every = f"list_transform(range(1, len(w) + 1), lambda i: array_to_string(w[i:i + {CHAIN}], ' '))"
+    taken = f"CASE WHEN len(s) * {SPARSE} < len(w) THEN s || {every} ELSE s END"
+    hashes = f"list_sort(list_distinct(list_transform({taken}, lambda x: substr(md5(x), 1, 8))))"
+    return f"(SELECT {hashes} FROM (SELECT w, {spots} AS s FROM (SELECT {words} AS w)))"
 
 
 def _sql_likeness(a: str, b: str) -> str:
