@@ -4,11 +4,11 @@ A stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last re
 columns of ``docs``.  It works on all rows its predecessor kept, and what it decides takes effect:
 
 1. quality: documents that the co-trained classifier rejects go;
-2. lines: later copies of repeated runs of three lines or of more than ``WORDS`` words are cut out,
-   ``n_chars`` follows the text, and documents of which nothing is left go; rows of equal text are
-   one for the shorter runs, stage 3 drops all but one of them;
-3. near_duplicates: of each class of documents linked by a similarity of their five-word shingles
-   of 0.8 or more the first by id stays;
+2. lines: later copies of repeated runs of three lines or of more than ``line_dedup.MIN_WORDS`` words
+   are cut out, ``n_chars`` follows the text, and documents of which nothing is left go; rows of equal
+   text are one for the shorter runs, stage 3 drops all but one of them;
+3. near_duplicates: of each class of documents linked by SimHash fingerprints (three-word shingles,
+   at most three differing bits) the first by id stays;
 4. decontamination: documents that hold a benchmark item go;
 5. mix: sources are mixed to their target weights; ``copies`` says how often a document is taken
    and documents that aren't taken go.
@@ -23,12 +23,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veilframe.llm import classifier, decontaminate, line_dedup, mixing, near_copies
+from veilframe.llm import classifier, decontaminate, line_dedup, mixing, simhash
 from veilframe.llm.shared import fresh, row_key, stored, table
 
 ORACLE_SQL = None
-#: Words from which on, one more, a repeated run of one or two lines is cut out as well.
-WORDS = 50
 
 
 def _join_rows(docs: DataFrame, found: DataFrame, how: str, *extra: str) -> tuple[DataFrame, list[str]]:
@@ -46,14 +44,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     total, gone = fresh(docs, "lines_total", "lines_gone")
-    cut = line_dedup.dedup_lines(docs, counts=(total, gone), min_words=WORDS)
+    cut = line_dedup.dedup_lines(docs, counts=(total, gone), min_words=line_dedup.MIN_WORDS, whole_texts=True)
     cut = cut.where((F.col(gone) == 0) | (F.col(gone) < F.col(total)))
     n_chars = F.when(F.col(gone) == 0, F.col("n_chars")).otherwise(F.length("text"))
     return cut.withColumn("n_chars", n_chars.cast(docs.schema["n_chars"].dataType)).select(*[f"`{c}`" for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept, (i, h, *_) = _join_rows(docs, near_copies.firsts(docs), "left_semi")
+    keyed = docs.select(*row_key(F.col("doc_id"), F.col("text")), "doc_id", "text")
+    classes = simhash.near_duplicates(keyed)
+    firsts = classes.groupBy("component").agg(F.min(F.struct("key_id", "key_hash")).alias("first")).select("first.*")
+    kept, (i, h, *_) = _join_rows(docs, firsts, "left_semi")
     return kept.dropDuplicates([i, h]).drop(i, h)
 
 
