@@ -9,7 +9,9 @@ needs, as a small look-up table (see ``operators.lookup``).
   words from it; the text is not shuffled.
 * A larger one stays distributed and is joined with the distinct words of each text.
   Rows and their texts are written once to the shared folder, so nothing that made
-  them runs again.
+  them runs again.  A Bloom filter over the dictionary, built in Spark and never more
+  than ``MAX_FILTER_BITS``, drops most unlisted words before they are shuffled; with
+  more words than it has room for it only drops fewer.
 
 Both give the same result, since look-ups are by word.  The built-in stop words are
 part of every dictionary unless others are given.
@@ -26,10 +28,11 @@ from pyspark.sql import functions as F
 
 from veilframe.functions import word_lists as W
 from veilframe.functions.sqltext import evaluated_once, quoted
-from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, needed_words, row_table
+from veilframe.operators.lookup import EDGE, FLAG_DIGITS, MID, candidate_words, entry, filter_places, needed_words, perhaps_listed, row_table
 from veilframe.session import remove_scratch, scratch_path
 
 MAX_SHARED_BYTES = 32 * 1024 * 1024
+MAX_FILTER_BITS, FILTER_BITS_PER_WORD = 1 << 26, 12
 WORDS_PER_BUCKET = 4
 # what a word costs besides its own bytes: marks, flag, its share of a bucket
 WORD_OVERHEAD = 16
@@ -77,6 +80,32 @@ class NameLexicon:
         self.n_words: int = size["n"]
         self.n_bytes: int = size["bytes"] or 0
         self.variable: str | None = self._publish() if self.n_bytes <= max_shared_bytes else None
+        self.filter_bits: int = min(MAX_FILTER_BITS, 1 << max(10, (self.n_words * FILTER_BITS_PER_WORD).bit_length()))
+        self.filter: str | None = None if self.variable else self._publish_filter()
+
+    def _publish_filter(self) -> str:
+        name = f"veil_filter_{uuid.uuid4().hex}"
+        self.flags.createOrReplaceTempView(name + "_words")
+        self.spark.sql(f"DECLARE OR REPLACE VARIABLE {name} ARRAY<BIGINT>")
+        self.spark.sql(
+            f"""
+            SET VAR {name} = (
+              SELECT transform(array_sort(collect_list(struct(slots.id AS id, coalesce(bits, 0L) AS bits))), s -> s.bits)
+              FROM range(0, {self.filter_bits // 64}, 1, 8) slots
+              LEFT JOIN (
+                SELECT place div 64 AS slot, bit_or(shiftleft(1L, cast(place % 64 AS INT))) AS bits
+                FROM (SELECT explode(array({", ".join(filter_places("word", self.filter_bits))})) AS place FROM {name}_words)
+                GROUP BY place div 64
+              ) filled ON slots.id = filled.slot
+            )
+            """
+        )
+        self.spark.catalog.dropTempView(name + "_words")
+        return name
+
+    def words_to_join(self, text: str) -> str:
+        """SQL for the words of a text that the dictionary may list."""
+        return perhaps_listed(candidate_words(text), self.filter, self.filter_bits)
 
     def _publish(self) -> str:
         name = f"veil_lexicon_{uuid.uuid4().hex}"
@@ -107,6 +136,7 @@ class NameLexicon:
         other.spark = spark
         other.flags = spark.read.schema("word string, flags int").parquet(self.path)
         other.variable = other._publish() if self.variable else None
+        other.filter = other._publish_filter() if self.filter else None
         return other
 
     def drop(self) -> None:
@@ -114,6 +144,9 @@ class NameLexicon:
         if self.variable:
             self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {self.variable}")
             self.variable = None
+        if self.filter:
+            self.spark.sql(f"DROP TEMPORARY VARIABLE IF EXISTS {self.filter}")
+            self.filter = None
         remove_scratch(self.spark, self.path)
 
     def attach(self, df: DataFrame, column: str, name: str) -> DataFrame:
@@ -127,8 +160,8 @@ class NameLexicon:
 
         The rows are written once with that key, under plain column names, and read for
         both sides of the join.  Texts that share a hash share a superset of what each
-        needs, which changes no look-up.  Equal pairs of text and word are made one
-        before the first shuffle.  A word that stands in very many texts, and a text with
+        needs, which changes no look-up.  Words that the filter rules out are left out,
+        and equal pairs of text and word are made one, before the first shuffle.  A word that stands in very many texts, and a text with
         very many copies, make skewed joins, which adaptive execution splits by their
         measured sizes.
         """
@@ -139,7 +172,7 @@ class NameLexicon:
         staged = self.spark.read.schema(staged.schema).parquet(path)
 
         text = quoted(plain[df.columns.index(column)])
-        pairs = staged.select("k", F.explode(F.expr(candidate_words(text))).alias("word")).distinct()
+        pairs = staged.select("k", F.explode(F.expr(self.words_to_join(text))).alias("word")).distinct()
         digit = f"substr('{FLAG_DIGITS}', flags + 1, 1)"
         hit = F.struct(F.xxhash64("word").alias("h"), F.expr(entry("word", digit)).alias("e"))
         needed = (

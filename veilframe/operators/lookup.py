@@ -53,3 +53,18 @@ def needed_words(text: str, table: str) -> str:
     looked_up = f"struct(xxhash64(w) AS h, {entry('w', flag('d', 'w'))} AS e)"
     all_words = bind(table, "d", f"transform({candidate_words(text)}, w -> {looked_up})")
     return row_table(f"filter({all_words}, x -> NOT endswith(x.e, '{EDGE}'))")
+
+
+# A Bloom filter over the words of a dictionary: an array of 64-bit numbers, and so many bits for each word.
+FILTER_HASHES = 3
+
+
+def filter_places(word: str, n_bits: int) -> list[str]:
+    """The places of a word's bits in a filter of ``n_bits``."""
+    return [f"pmod(xxhash64({word}, {k}), {n_bits}L)" for k in range(FILTER_HASHES)]
+
+
+def perhaps_listed(words: str, table: str, n_bits: int) -> str:
+    """Those of ``words`` that the filter ``table`` may hold; none that it holds is lost.  Reads ``table`` in one place."""
+    tests = [f"getbit(get(d, cast({place} div 64 AS INT)), cast({place} % 64 AS INT)) = 1" for place in filter_places("w", n_bits)]
+    return bind(table, "d", f"filter({words}, w -> {' AND '.join(tests)})")

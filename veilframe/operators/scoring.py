@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from veilframe.sources import corpus
@@ -32,6 +32,17 @@ def mismatches(flagged: DataFrame, *extra: str) -> DataFrame:
     return flagged.filter(~F.coalesce("match", F.lit(False))).select(*extra, "source", "target", "redacted")
 
 
+def score_and_mismatches(flagged: DataFrame, path: str, *extra: str) -> tuple[dict[str, int], DataFrame]:
+    """Both results in one pass: matches and n_rows, and the mismatches, which are written to ``path`` as Parquet.
+
+    The counts are taken on the way, so what made the flags runs once.
+    """
+    seen = Observation()
+    counts = F.coalesce(F.count_if("match"), F.lit(0)).alias("matches"), F.count(F.lit(1)).alias("n_rows")
+    mismatches(flagged.observe(seen, *counts), *extra).write.parquet(path)
+    return seen.get, flagged.sparkSession.read.parquet(path)
+
+
 def nth_record_fields(records: DataFrame, order_by: str, n: int) -> DataFrame:
     """All keys and values of the record at position ``n`` (from 0) in the order of the key ``order_by``, a whole number.
 

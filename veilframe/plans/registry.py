@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from veilframe.functions import scalars
 from veilframe.functions import word_lists as W
-from veilframe.functions.register import register_redact, register_redact_core
+from veilframe.functions.register import register_redact, register_redact_core, register_redact_table
 from veilframe.functions.rules import CORE, FULL
 from veilframe.operators import conversations, dictionaries, distinct_counts, ordered, queries, scoring
 from veilframe.operators.lexicon import NameLexicon
@@ -171,6 +171,14 @@ def redact_full_sql(spark: SparkSession, sf_dir: str, **limits: int) -> DataFram
     return orders_texts(spark, sf_dir, ALL_CASES).selectExpr("o_orderkey", f"{name}(text) AS redacted")
 
 
+def redact_full_table(spark: SparkSession, sf_dir: str, **limits: int) -> DataFrame:
+    """All rules as a table function, over a table that is known to the session by name."""
+    orders_texts(spark, sf_dir, ALL_CASES).createOrReplaceTempView("veil_order_texts")
+    name = "redact_orders_joined" if limits else "redact_orders"
+    register_redact_table(spark, name_lexicon(spark, sf_dir, **limits), "veil_order_texts", "text", name)
+    return spark.sql(f"SELECT o_orderkey, redacted FROM {name}()")
+
+
 def redact_core_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_redact_core(spark)
     documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -259,6 +267,12 @@ def mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.mismatches(flagged_pairs(spark, sf_dir), "row_id")
 
 
+def scored_mismatches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mismatches with the score of the run that found them."""
+    counts, rows = scoring.score_and_mismatches(flagged_pairs(spark, sf_dir), scratch_path(spark, "mismatches"), "row_id")
+    return rows.select("row_id", "redacted", *[F.lit(n).cast("long").alias(name) for name, n in counts.items()])
+
+
 def corpus_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw corpus out as JSON lines, in again, projected, out and in again."""
     raw, projected = scratch_path(spark, "raw"), scratch_path(spark, "pairs")
@@ -467,11 +481,14 @@ def all_queries() -> dict[str, Query]:
         "redact_full_joined_dictionary": partial(redact_full, max_shared_bytes=0),
         "redact_full_sql": redact_full_sql,
         "redact_full_sql_joined": partial(redact_full_sql, max_shared_bytes=0),
+        "redact_full_table": redact_full_table,
+        "redact_full_table_joined": partial(redact_full_table, max_shared_bytes=0),
         "redact_stream": redact_stream,
         "redact_stream_joined": partial(redact_stream, max_shared_bytes=0),
         "documents_with_names": documents_with_names,
         "score": score,
         "mismatches": mismatches,
+        "scored_mismatches": scored_mismatches,
         "corpus_files": corpus_files,
         "nth_record": nth_record,
         "record_fields": record_fields,
@@ -564,6 +581,8 @@ def all_oracles() -> dict[str, str]:
         "redact_full_joined_dictionary",
         "redact_full_sql",
         "redact_full_sql_joined",
+        "redact_full_table",
+        "redact_full_table_joined",
         "redact_stream",
         "redact_stream_joined",
     ):
@@ -598,6 +617,10 @@ def all_oracles() -> dict[str, str]:
         "mismatches": f"""
             SELECT row_id, source, CASE WHEN row_id % 11 <> 0 THEN target END AS target, redacted FROM {pairs}
             WHERE redacted <> target OR row_id % 11 = 0""",
+        "scored_mismatches": f"""
+            SELECT row_id, redacted, matches, n_rows
+            FROM (SELECT *, count(*) FILTER (redacted = target AND row_id % 11 <> 0) OVER () AS matches, count(*) OVER () AS n_rows FROM {pairs})
+            WHERE redacted <> target OR row_id % 11 = 0""",
         "corpus_files": f"SELECT source, target FROM {pairs}",
         "nth_record": """
             SELECT unnest(['doc_id', 'lang', 'source', 'text']) AS "key",
