@@ -251,6 +251,54 @@ def test_recall_of_edited_items():
     assert len(found & planted) >= 0.9 * len(planted) and found <= planted
 
 
+def test_next_answers_skip_missing_ids(spark):
+    rows = [(i, t, r, f"{r} {i} {t}") for i in (1, 5, 9, None) for t, r in ((0, "user"), (1, "assistant"))] + [(7, 0, "user", "no answer")]
+    chosen, rejected = preferences.swapped_answers(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    got = {r.pair_id: r.text for r in rejected.where("role = 'assistant'").collect()}
+    assert got == {1: "assistant 5 1", 5: "assistant 9 1", 9: "", None: ""} and chosen.count() == rejected.count() == len(rows)
+
+
+def test_many_turns_of_one_number(spark):
+    rows = [(1, None if k % 2 else 3, "user", f"{k:03}") for k in range(600)]
+    df = spark.createDataFrame(rows, "pair_id long, turn long, role string, text string")
+    out = preferences.preference_rows(df, df.where("text < '590'")).collect()
+    order = sorted(rows, key=lambda r: (r[1] is None, r[3]))
+    assert [r.rendered.split("\n")[1].removesuffix("<|im_end|>") for r in sorted(out, key=lambda r: r.start)][:500] == [r[3] for r in order][:500]
+
+
+def test_one_id_of_very_many_rows(docs, spark):
+    many = spark.range(5000).select(F.lit(1).cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(9).cast("long").alias("n_chars"))
+    both = many.union(docs.select(many.columns))
+    known = spark.createDataFrame([(1, 1, 0), (3, 0, 0), (4, 0, 1), (5, 1, 0)], "doc_id long, quality int, toxic int")
+    model, featured = classifier.co_train(both, known, ["doc_id"])
+    assert featured.count() == both.count() and model.share == 0.5
+
+
+def test_exchange_is_the_sum_over_all_documents(spark):
+    """One round against a plain reading: every document that a view is sure of counts, in its group."""
+    rng = random.Random(21)
+    rows = []
+    for k in range(900):
+        good = rng.random() < 0.5
+        words = rng.choices(WORDS[:40] if good else WORDS[30:70], k=30)
+        rows.append((k, " ".join(words), rng.choice(["en", "de"]), ("good" if rng.random() < 0.97 else "bad") if good else "bad", 90))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(7)
+    known = spark.createDataFrame([(k, int(set(t.split()) <= set(WORDS[:40])), 0) for k, t, *_ in rows if k < 300], "doc_id long, quality int, toxic int")
+    model, featured = classifier.co_train(docs, known, ["doc_id"], 1)
+    stored_rows = featured.withColumn("labelled", F.when(F.col("doc_id") < 300, F.col("doc_id")))
+    to_text, to_meta = classifier._exchanged(stored_rows, model)
+    frame = featured.where("doc_id >= 300").select("featured.*").toPandas()
+    views = classifier.Views.of(frame)
+    by_text, by_meta = (classifier._p(z) for z in model.logits(views))
+    sure = (by_text >= classifier.SURE) | (by_text <= 1 - classifier.SURE)
+    assert to_meta[3].sum() == sure.sum() > 100
+    assert (to_meta[3] @ to_meta[1]).tolist() == pytest.approx(views.metas[sure].sum(0).tolist())
+    assert to_meta[3] @ to_meta[2] == (by_text[sure] > 0.5).sum()
+    sure = (by_meta >= classifier.SURE) | (by_meta <= 1 - classifier.SURE)
+    words = sum((classifier.np.bincount(i, minlength=model.text.words) for i, s in zip(views.ids, sure, strict=True) if s), classifier.np.zeros(model.text.words))
+    assert to_text[3].sum() == sure.sum() > 0 and (to_text[3] @ to_text[0]).tolist() == pytest.approx(words.tolist())
+
+
 def test_preferences(spark):
     schema = "pair_id long, turn long, role string, text string"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "yes"), (2, 0, "user", None), (2, 0, "user", ""), (3, 0, None, "x"), (None, None, "user", "n")]

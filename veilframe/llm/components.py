@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import stored
+from veilframe.llm.shared import replaced, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def components(links: DataFrame) -> DataFrame:
         least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         joined = large.join(least, F.col("u") == F.col("w"))
         small = joined.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges, before = stored(small.union(least.select("w", "m")).distinct(), "links"), now
+        edges, before = replaced(edges, small.union(least.select("w", "m")).distinct(), "links"), now
     stars = edges.select(F.col("u").alias("n"), F.col("v").alias("root"))
     return nodes.join(stars, F.col("node") == F.col("n"), "left").select("node", F.coalesce("root", "node").alias("component"))
 

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import stored
+from veilframe.llm.shared import stored, with_following
 
 #: Turns of a block of running sums.
 BLOCK = 256
@@ -99,14 +99,15 @@ def swapped_answers(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Chosen and rejected turns for data without preferences.
 
     Chosen is each conversation; rejected is the same with its last answer replaced by the
-    last answer of the conversation with the next id (empty if there is none).  Answers on
+    last answer of the conversation with the next id that has one (empty if there is none).  Answers on
     one turn number count as one.
     """
     turns = conversations.select(F.col("conv_id").alias("pair_id"), "turn", "role", "text")
     last = turns.where(F.col("role") == ASSISTANT).groupBy("pair_id").agg(F.max(F.struct("turn", "text")).alias("last"))
-    after = last.select((F.col("pair_id") - 1).alias("q"), F.coalesce("last.text", F.lit("")).alias("other"))
-    swap = last.join(after, F.col("pair_id") == F.col("q"), "left")
-    swap = swap.select(F.col("pair_id").alias("p"), F.col("last.turn").alias("t"), F.coalesce("other", F.lit("")).alias("other"))
+    known = last.where("pair_id IS NOT NULL").select("pair_id", "last.turn", F.coalesce("last.text", F.lit("")).alias("said"))
+    swap = with_following(known, "pair_id", "said", "other").select("pair_id", "turn", "other")
+    swap = swap.union(last.where("pair_id IS NULL").select("pair_id", "last.turn", F.lit(None).cast("string")))
+    swap = swap.select(F.col("pair_id").alias("p"), F.col("turn").alias("t"), F.coalesce("other", F.lit("")).alias("other"))
     both = turns.join(swap, F.col("pair_id").eqNullSafe(F.col("p")), "left")
     answer = (F.col("role") == ASSISTANT) & F.col("turn").eqNullSafe(F.col("t")) & F.col("other").isNotNull()
     return turns, both.select("pair_id", "turn", "role", F.when(answer, F.col("other")).otherwise(F.col("text")).alias("text"))

@@ -23,8 +23,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 @query
 def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = classifier.train(docs, table(spark, sf_dir, "labels"))
-    return classifier.classify(docs, model, ["doc_id"])
+    return classifier.classified(*classifier.co_train(docs, table(spark, sf_dir, "labels"), ["doc_id"]))
 
 
 @query
@@ -127,7 +126,7 @@ def op9_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op9_preference_pairs"] = """
 WITH l AS (SELECT conv_id, max((turn, text)) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
-s AS (SELECT l.conv_id, l.last[1] AS t, coalesce(n.last[2], '') AS other FROM l LEFT JOIN l n ON n.conv_id = l.conv_id + 1),
+s AS (SELECT conv_id, last[1] AS t, coalesce(lead(last[2]) OVER (ORDER BY conv_id), '') AS other FROM l),
 b AS (SELECT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM conversations
       UNION ALL
       SELECT c.conv_id, 'rejected', turn, role, CASE WHEN role = 'assistant' AND turn = s.t THEN other ELSE text END

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from veilframe.session import scratch_path
+from veilframe.session import remove_scratch, scratch_path
 
 #: A word: anything between blanks, tabs and line ends.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,6 +32,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def replaced(old: DataFrame, df: DataFrame, label: str) -> DataFrame:
+    """``stored(df)``, made from ``old``, which ``stored`` returned and nobody reads any more: its files are removed.
+
+    So are, soon, the shuffle files of what ran before: Spark drops those of plans that the driver has collected.
+    """
+    spark, new = df.sparkSession, stored(df, label)
+    for folder in {file.rsplit("/", 1)[0] for file in old.inputFiles()}:
+        remove_scratch(spark, folder)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return new
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside hands at most so many rows at a time to Python, which bounds its memory when rows are long."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def word_count(text: Column) -> Column:
     """Number of words as long; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
@@ -78,6 +107,22 @@ def running_total(df: DataFrame, order: list[str], amount: str, total: str) -> D
     )
 
 
+def with_following(df: DataFrame, key: str, value: str, following: str) -> DataFrame:
+    """``df``, whose ``key`` tells rows apart and isn't null, with ``following``: the ``value`` of the row with the next key, null for the last.
+
+    Rows are dealt by range; each range's last row gets the first of the next range (one row for each).
+    """
+    n = partitions(df.sparkSession)
+    dealt = stored(df.repartitionByRange(n, key).withColumn("rt_part", F.spark_partition_id()), "ranges")
+    firsts = dealt.groupBy("rt_part").agg(F.min_by(value, key).alias("rt_value"))
+    after = F.lead("rt_value").over(Window.orderBy("rt_part"))
+    firsts = firsts.select(F.col("rt_part").alias("rt_p"), after.alias("rt_next"))
+    inside = Window.partitionBy("rt_part").orderBy(key)
+    placed = dealt.withColumns({"rt_last": F.lead(F.lit(False), 1, True).over(inside), following: F.lead(value).over(inside)})
+    joined = placed.join(F.broadcast(firsts), F.col("rt_part") == F.col("rt_p"))
+    return joined.withColumn(following, F.when(F.col("rt_last"), F.col("rt_next")).otherwise(F.col(following))).drop("rt_part", "rt_p", "rt_last", "rt_next")
+
+
 def pack(numbers: np.ndarray) -> bytes:
     """Numbers from -1 on as four planes of bytes, which compress well since most numbers are small."""
     return (numbers + 1).astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()

@@ -29,12 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veilframe.llm.shared import pack, stored, unpack
+from veilframe.llm.shared import batches_of, pack, stored, unpack
 
 #: Folder of the vocabularies, and their names in it.
 FOLDER, A, B = "/opt/tokenizers", "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Characters from which on a text is encoded in parts, and characters that are encoded at a time.
-PART, AT_ONCE = 1 << 16, 1 << 20
+#: Characters from which on a text is encoded in parts, characters that are encoded and texts that a task holds at a time.
+PART, AT_ONCE, TEXTS = 1 << 16, 1 << 20, 500
 #: Between two letters both tokenizers begin a new token with the blank; a long text can be cut there.
 CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
 
@@ -194,7 +194,8 @@ def id_pairs(rows: DataFrame, folder: str = FOLDER, a: str = A, b: str = B) -> D
 def aligned(docs: DataFrame, folder: str = FOLDER, a: str = A, b: str = B) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256 for each row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
-    rows = stored(encoded(docs, folder, a, b), "links")
+    with batches_of(spark, TEXTS):
+        rows = stored(encoded(docs, folder, a, b), "links")
     counts, b_of = pair_counts(rows, folder, a, b), alignment(folder, a, b).b_of()
     highest = np.zeros(b_of.max(initial=0) + 1, np.int64)
     np.maximum.at(highest, b_of, counts)
