@@ -38,8 +38,10 @@ def _join_rows(docs: DataFrame, found: DataFrame, how: str, *extra: str) -> tupl
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = classifier.train(docs, table(spark, sf_dir, "labels"))
-    return classifier.accepted(docs, model)
+    scored = classifier.classified(*classifier.co_train(docs, table(spark, sf_dir, "labels"), docs.columns))
+    names = fresh(docs, "p_text", "p_meta", "p_good", "accepted")
+    scored = scored.toDF(*docs.columns, *names)
+    return scored.where(f"`{names[-1]}`").select(*[f"`{c}`" for c in docs.columns])
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
