@@ -86,6 +86,19 @@ def test_records(spark, capsys):
     assert shown.startswith("Query: SELECT 19.5 AS fare\n+----+\n|fare|") and "|19.5|" in shown
 
 
+def test_printed_table_is_what_show_prints(spark, capsys):
+    rows = spark.range(40).selectExpr(
+        "id", "if(id % 3 = 0, null, repeat('ä漢', cast(id % 5 AS int))) AS `a\tb`", "id / 7 AS d", "cast(id AS decimal(10, 3)) AS e",
+        "array(id, id + 1) AS f", "named_struct('x', id, 'y', 'z') AS g", "encode(concat('é', id), 'utf-8') AS h", "concat('x', chr(10), chr(9), '😀') AS i",
+        "timestamp '2024-01-02 03:04:05.6' + make_interval(0, 0, 0, 0, 0, 0, id) AS t", "id % 2 = 0 AS k", "map('a', id) AS m", "date '2024-01-02' AS n",
+    )
+    for df in (rows, rows.repartition(3).orderBy("id"), rows.limit(0), spark.range(3).selectExpr("id AS `漢字`")):
+        df.show(1000, truncate=False)
+        shown = capsys.readouterr().out
+        queries.print_table(df)
+        assert capsys.readouterr().out == shown
+
+
 def test_pairs_are_strict(spark, tmp_path):
     def read(*lines):
         path = tmp_path / f"{len(os.listdir(tmp_path))}.json"

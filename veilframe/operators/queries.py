@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, DataType, StructType
 
 from veilframe.sources import tables
 
@@ -16,8 +17,6 @@ _PART = re.compile(
     r"""(?s)'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|(?P<gap>\s+|;|--[^\n]*|/\*.*?\*/)|\w+|."""
 )
 QUERY_WORDS = ("SELECT", "WITH", "FROM", "VALUES", "TABLE", "(")
-# The most rows that Spark prints.
-ALL_ROWS = 2**31 - 32
 
 
 def check_query(spark: SparkSession, sql: str) -> str:
@@ -50,12 +49,63 @@ def records(df: DataFrame) -> DataFrame:
 
 
 def print_query(spark: SparkSession, sql: str, rows: int | None = None) -> None:
-    """Echo the query and print its whole result as a text table, or its first ``rows`` if asked.
+    """Echo the query and print its whole result as a text table, or its first ``rows`` if asked."""
+    print(f"Query: {sql}")
+    df = run_query(spark, sql)
+    if rows is None:
+        print_table(df)
+    else:
+        df.show(rows, truncate=False)
+
 
-    A text table comes to the driver as a whole, since its width depends on every row.
+def print_table(df: DataFrame) -> None:
+    """The text table that ``df.show`` prints of all rows, without bringing them to the driver at once.
+
+    The width of a column depends on every row, so the result is computed twice: widths are an
+    aggregate, then the driver prints one partition after the other.
     """
-    print(f"Query: {sql}")
-    run_query(spark, sql).show(ALL_ROWS if rows is None else rows, truncate=False)
+    cells = df.toDF(*[f"c{k}" for k in range(len(df.columns))])
+    cells = cells.select(*[_cell(F.col(c), cells.schema[c].dataType).alias(c) for c in cells.columns])
+    names = [_escaped(name) for name in df.columns]
+    found = cells.agg(*[F.max(_width(F.col(c))).alias(c) for c in cells.columns]).first() if names else []
+    widths = [max(3, _plain_width(name), n or 0) for name, n in zip(names, found, strict=True)]
+    rule = "+" + "".join("-" * w + "+" for w in widths)
+    print(rule)
+    print("|" + "".join(name + " " * (w - _plain_width(name)) + "|" for name, w in zip(names, widths, strict=True)))
+    print(rule)
+    padded = [F.concat(F.col(c), F.repeat(F.lit(" "), F.lit(w) - _width(F.col(c))), F.lit("|")) for c, w in zip(cells.columns, widths, strict=True)]
+    for row in cells.select(F.concat(F.lit("|"), *padded)).toLocalIterator():
+        print(row[0])
+    print(f"{rule}\n")
+
+
+# Characters that take two places of a text table; signs that Spark prints escaped.
+_WIDE = "\u1100-\u115F\u2E80-\uA4CF\uAC00-\uD7A3\uF900-\uFAFF\uFE10-\uFE19\uFE30-\uFE6F\uFF00-\uFF60\uFFE0-\uFFE6"
+_ESCAPES = {"\n": "\\n", "\r": "\\r", "\t": "\\t", "\f": "\\f", "\b": "\\b", "\x0b": "\\v", "\x07": "\\a"}
+
+
+def _escaped(text: str) -> str:
+    return reduce(lambda t, e: t.replace(*e), _ESCAPES.items(), text)
+
+
+def _plain_width(text: str) -> int:
+    units = len(text.encode("utf-16-le")) // 2  # as Java counts
+    return units + len(re.findall(f"[{_WIDE}]", text))
+
+
+def _width(text: Column) -> Column:
+    pairs = F.length(F.regexp_replace(text, r"[^\x{10000}-\x{10FFFF}]", ""))
+    return F.length(text) + pairs + F.length(F.regexp_replace(text, f"[^{_WIDE}]", ""))
+
+
+def _cell(value: Column, kind: DataType) -> Column:
+    """A value as Spark shows it."""
+    if isinstance(kind, BinaryType):
+        text = F.concat(F.lit("["), F.array_join(F.regexp_extract_all(F.hex(value), F.lit("(..)")), " "), F.lit("]"))
+    else:
+        text = value.cast("string")
+    text = reduce(lambda t, e: F.replace(t, F.lit(e[0]), F.lit(e[1])), _ESCAPES.items(), text)
+    return F.coalesce(text, F.lit("NULL"))
 
 
 class ParquetQueries:
