@@ -40,20 +40,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.components import components
-from veilframe.llm.shared import partitions, row_key, stored
+from veilframe.llm.shared import batches_of, partitions, row_key, stored
 
 #: Words of an n-gram, and the coefficient from which on two sets are linked, in percent.
 SHINGLE, SHARE = 3, 90
 #: Hash buckets in which n-grams are counted; the table that tasks get holds a byte for each.
-BUCKETS = 1 << 20
+BUCKETS = 1 << 18
 #: Ranges of the suffix filter.
 RANGES = 32
 #: Bits of the filters for keys and rows; their size doesn't depend on the data.
 BITS = 1 << 26
 #: Rounds in which a key's nodes are compared with one of them.
 ROUNDS = 2
-#: Rows of a tile's side.
-BLOCK = 512
+#: Rows of a tile's side, and texts that a task holds at a time.
+BLOCK, TEXTS = 512, 500
 STEP, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -203,7 +203,8 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, share
 
     rows = docs.select(*row_key(F.col("doc_id"), F.col("text")), "text").select("key_id", "key_hash", whole("key_hash", "text").alias("grams"))
     sets = rows.where("grams IS NOT NULL").join(wanted, ["key_id", "key_hash"]).dropDuplicates(["id"]).select("id", "grams")
-    sets = stored(sets, "sets")
+    with batches_of(spark, TEXTS):
+        sets = stored(sets, "sets")
     u, w = sets.toDF("a", "u"), sets.toDF("b", "w")
     compared = close.join(u, "a").join(w, "b").select("a", "b", F.size("u").alias("m"), F.size("w").alias("n"), F.size(F.array_intersect("u", "w")).alias("same"))
     return compared.where(100 * F.col("same") >= share * (F.col("m") + F.col("n") - F.col("same"))).select("a", "b")
@@ -244,15 +245,22 @@ def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
     dealt = rows.select("key", F.explode(tiles).alias("tile"), "id", "n", "pos", "class").select("key", "tile.*", "id", "n", "pos", "class")
     dealt = dealt.repartition(partitions(rows.sparkSession), *group).sortWithinPartitions(*group)
 
-    def inside(tile: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        tile = tile.sort_values("id", ignore_index=True)
-        ids, n, pos, classes = (tile[c].to_numpy() for c in ("id", "n", "pos", "class"))
-        for k in range(len(ids) - 1):
-            m, i, n2, j = n[k], pos[k], n[k + 1 :], pos[k + 1 :]
+    def inside(rows: pd.DataFrame, groups: np.ndarray) -> pd.DataFrame:
+        """The pairs of rows of one group, each with those after it, a distance at a time."""
+        ids, n, pos, classes = (rows[c].to_numpy() for c in ("id", "n", "pos", "class"))
+        met, at, d = [], np.arange(len(rows)), 1
+        while len(at):
+            at = at[at + d < len(rows)]
+            at = at[groups[at] == groups[at + d]]
+            m, i, n2, j = n[at], pos[at], n[at + d], pos[at + d]
             fits = (100 * np.minimum(m, n2) >= share * np.maximum(m, n2)) & (np.minimum(m - i, n2 - j) * (100 + share) >= share * (m + n2))
-            found = k + 1 + np.flatnonzero(fits & (classes[k + 1 :] != classes[k]))
-            if len(found):
-                yield pd.DataFrame({"a": ids[k], "i": i, "b": ids[found], "j": pos[found]})
+            found = at[fits & (classes[at] != classes[at + d])]
+            met.append(np.c_[found, found + d])
+            d += 1
+        pairs = np.concatenate(met or [np.empty((0, 2), np.int64)])
+        swap = ids[pairs[:, 0]] > ids[pairs[:, 1]]
+        pairs[swap] = pairs[swap][:, ::-1]
+        return pd.DataFrame({"a": ids[pairs[:, 0]], "i": pos[pairs[:, 0]], "b": ids[pairs[:, 1]], "j": pos[pairs[:, 1]]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -261,21 +269,21 @@ def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
             if not len(held):
                 continue
             columns = [held[c].to_numpy() for c in group]
-            edges = np.flatnonzero(np.r_[True, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
-            for start, end in zip(edges, edges[1:], strict=False):
-                yield from inside(held.iloc[start:end])
-            held = held.iloc[edges[-1] :]  # may go on in the next batch
+            groups = np.cumsum(np.r_[False, np.logical_or.reduce([c[1:] != c[:-1] for c in columns])])
+            done = groups < groups[-1]
+            yield inside(held[done], groups[done])
+            held = held[~done]  # may go on in the next batch
         if held is not None and len(held):
-            yield from inside(held)
+            yield inside(held, np.zeros(len(held), np.int64))
 
     return dealt.mapInPandas(compare, "a long, i int, b long, j int")
 
 
 def join_classes(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of ``docs`` (doc_id, text)."""
-    spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(bucket_levels(docs, size))
-    rows = stored(sketches(docs, levels, size, share), "sketches")
+    with batches_of(docs.sparkSession, TEXTS):
+        levels = docs.sparkSession.sparkContext.broadcast(bucket_levels(docs, size))
+        rows = stored(sketches(docs, levels, size, share), "sketches")
     firsts = rows.where("node IS NOT NULL").groupBy("node").agg(
         F.min(F.struct("key_id", "key_hash")).alias("first"),
         F.min("doc_id").alias("least"),
