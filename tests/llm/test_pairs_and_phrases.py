@@ -104,7 +104,7 @@ def test_filters_lose_no_pair():
         assert shared
         i, j = shared[0]
         assert min(len(x) - i, len(y) - j) * 190 >= 90 * (len(x) + len(y))
-        left, right = (ngram_join._suffix(s[:], ngram_join.histogram(w), at) for s, w, at in ((p, x, i), (q, y, j)))
+        left, right = (ngram_join._suffix(s.view(ngram_join.np.int64), ngram_join.histogram(w), at) for s, w, at in ((p, x, i), (q, y, j)))
         assert i + j + abs(left - right).sum() <= len(x) + len(y) - 2 * -(-90 * (len(x) + len(y)) // 190)
 
 
@@ -227,10 +227,16 @@ def test_alignment_edges(spark, texts):
     assert token_alignment.aligned(rows_of(spark, EDGES).limit(0)).collect() == []
 
 
-def test_long_texts_are_cut_without_effect(texts, monkeypatch):
-    tables, text = token_alignment.alignment(), "\n".join(texts.values())
-    whole = tables.a.encode(" " + text, add_special_tokens=False).ids, tables.b.encode(text)
-    monkeypatch.setattr(token_alignment, "PART", 500)
-    assert len(tables.parts(text)) > 100
-    (a,), (b,) = tables.encode([text])
-    assert (a.tolist(), b.tolist()) == whole
+def test_texts_are_cut_without_effect(texts, monkeypatch):
+    tables = token_alignment.alignment()
+    odd = ["a  b   c", " a 's 'll don 't", "x\u00a0 y \u3000 z", "▁a ▁ b▁ c", "1 2 3.5 €9 %% $ -1", "中 文 🎉 é ß", "\x1c a \x85 b", "q \t w \n e", "<s> </s> <0x41> <|endoftext|> x"]
+    odd += ["".join(random.Random(k).choices("ab1é.'▁ \n\u00a0", k=200)) for k in range(300)]
+    for text in [*filter(None, texts.values()), *odd]:
+        pieces = tables.pieces_of(text)
+        assert " ".join(pieces) == text
+        assert [i for p in pieces for i in tables.a.encode(" " + p, add_special_tokens=False).ids] == tables.a.encode(" " + text, add_special_tokens=False).ids
+        assert [i for p in pieces for i in tables.b.encode(p)] == tables.b.encode(text)
+    monkeypatch.setattr(token_alignment, "KEPT", 50)  # forgets
+    monkeypatch.setattr(token_alignment, "AT_ONCE", 100)
+    known = tables.pieces({p for t in odd for p in tables.pieces_of(t)})
+    assert len(tables.kept) <= 50 and all(v is None or len(v[2]) <= min(v[:2]) for v in known.values())

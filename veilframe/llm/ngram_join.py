@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.components import components
-from veilframe.llm.shared import batches_of, partitions, row_key, stored
+from veilframe.llm.shared import batches_of, partitions, replaced, row_key, stored
 
 #: Words of an n-gram, and the coefficient from which on two sets are linked, in percent.
 SHINGLE, SHARE = 3, 90
@@ -148,50 +148,44 @@ def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def entries(nodes: DataFrame) -> DataFrame:
-    """key, id, n, pos: the prefix n-grams that stand in two prefixes or more."""
+    """key, id, n, pos, rest, nodes: the prefix n-grams that stand in two prefixes or more.
+
+    ``rest`` counts the n-grams after the place by range, which is what the suffix filter needs to know of a set.
+    """
     spark = nodes.sparkSession
     counted = nodes.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("nodes"))
     repeated = stored(counted.where("nodes > 1"), "keys")
     bits = spark.sparkContext.broadcast(bit_filter(repeated, "key"))
 
-    @F.pandas_udf("array<boolean>")
-    def perhaps(prefixes: pd.Series) -> pd.Series:
-        return pd.Series([in_filter(bits.value, p) for p in prefixes])
+    @F.pandas_udf("array<struct<key: long, pos: int, rest: array<int>>>")
+    def perhaps(prefixes: pd.Series, counts: pd.Series) -> pd.Series:
+        out = []
+        for prefix, whole in zip(prefixes, counts, strict=True):
+            out.append([{"key": int(prefix[k]), "pos": int(k), "rest": _suffix(prefix, whole, k)} for k in np.flatnonzero(in_filter(bits.value, prefix))])
+        return pd.Series(out)
 
-    flagged = nodes.select("id", "n", "prefix", perhaps("prefix").alias("mark"))
-    placed = flagged.select("id", "n", F.posexplode(F.arrays_zip("prefix", "mark")).alias("pos", "one")).where("one.mark").select(F.col("one.prefix").alias("key"), "id", "n", "pos")
+    placed = nodes.select("id", "n", F.explode(perhaps("prefix", "histogram")).alias("one")).select("id", "n", "one.*")
     wanted = repeated.select(F.col("key").alias("k"), "nodes")
     return stored(placed.join(wanted, F.col("key") == F.col("k")).drop("k"), "entries")
 
 
-def passes(share: int, m: Column, i: Column, n: Column, j: Column) -> Column:
-    """Length and positional filter for sets of m and n n-grams that share those at places i and j."""
+def passes(share: int, m: Column, i: Column, a: Column, n: Column, j: Column, b: Column) -> Column:
+    """Length, positional and suffix filter for sets of m and n n-grams that share those at places i and j, with counts a and b after them."""
     long_enough = 100 * F.least(m, n) >= share * F.greatest(m, n)
-    return long_enough & (F.least(m - i, n - j) * (100 + share) >= share * (m + n))
+    enough_left = F.least(m - i, n - j) * (100 + share) >= share * (m + n)
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
+    most = m + n - 2 * F.ceil(share * (m + n) / F.lit(100 + share)).cast("long")
+    return long_enough & enough_left & (i + j + apart <= most)
 
 
 def _suffix(prefix: np.ndarray, counts: np.ndarray, at: int) -> np.ndarray:
-    return counts - histogram(np.asarray(prefix[: at + 1], np.int64).view(np.uint64))
+    return counts - histogram(np.asarray(prefix[: at + 1], np.int64).view(np.uint64)).astype(np.int32)
 
 
-def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, share: int) -> DataFrame:
-    """a, b of ``pairs`` (a, i, b, j; places of a shared n-gram) whose sets reach the coefficient."""
+def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """a, b, m, n, same of the distinct ``pairs`` (a, b): sizes of the two sets and of what they share."""
     spark = nodes.sparkSession
-    once = pairs.groupBy("a", "b").agg(F.min("i").alias("i"), F.min("j").alias("j"))
-
-    @F.pandas_udf("boolean")
-    def near(m: pd.Series, i: pd.Series, p: pd.Series, c: pd.Series, n: pd.Series, j: pd.Series, q: pd.Series, d: pd.Series) -> pd.Series:
-        out = []
-        for m1, i1, p1, c1, n1, j1, q1, d1 in zip(m, i, p, c, n, j, q, d, strict=True):
-            most = m1 + n1 - 2 * -(-share * (m1 + n1) // (100 + share))
-            out.append(i1 + j1 + np.abs(_suffix(p1, c1, i1) - _suffix(q1, d1, j1)).sum() <= most)
-        return pd.Series(out, dtype=bool)
-
-    left = nodes.select(F.col("id").alias("a"), F.col("n").alias("m"), F.col("prefix").alias("p"), F.col("histogram").alias("c"))
-    right = nodes.select(F.col("id").alias("b"), "n", F.col("prefix").alias("q"), F.col("histogram").alias("d"))
-    both = once.join(left, "a").join(right, "b")
-    close = stored(both.where(near("m", "i", "p", "c", "n", "j", "q", "d")).select("a", "b"), "candidates")
-
+    close = stored(pairs.distinct(), "candidates")
     ids = close.select(F.col("a").alias("id")).union(close.select("b")).distinct()
     wanted = stored(ids.join(nodes.select("id", "first"), "id").select("id", "first.*"), "wanted")
     bits = spark.sparkContext.broadcast(bit_filter(wanted, "key_hash"))
@@ -206,8 +200,7 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int, share
     with batches_of(spark, TEXTS):
         sets = stored(sets, "sets")
     u, w = sets.toDF("a", "u"), sets.toDF("b", "w")
-    compared = close.join(u, "a").join(w, "b").select("a", "b", F.size("u").alias("m"), F.size("w").alias("n"), F.size(F.array_intersect("u", "w")).alias("same"))
-    return compared.where(100 * F.col("same") >= share * (F.col("m") + F.col("n") - F.col("same"))).select("a", "b")
+    return close.join(u, "a").join(w, "b").select("a", "b", F.size("u").alias("m"), F.size("w").alias("n"), F.size(F.array_intersect("u", "w")).alias("same"))
 
 
 def _with_classes(rows: DataFrame, links: DataFrame) -> DataFrame:
@@ -223,31 +216,27 @@ def _mixed(rows: DataFrame) -> DataFrame:
 
 def _round_pairs(rows: DataFrame, seed: int, share: int) -> DataFrame:
     """Each node of a key with one of its nodes, another one for each seed."""
-    one = F.min_by(F.struct("id", "n", "pos", "class"), F.xxhash64(F.lit(seed), "id")).alias("one")
+    one = F.min_by(F.struct("id", "n", "pos", "rest", "class"), F.xxhash64(F.lit(seed), "id")).alias("one")
     anchors = rows.groupBy(F.col("key").alias("k")).agg(one)
     met = rows.join(anchors, F.col("key") == F.col("k")).where(F.col("class") != F.col("one.class"))
-    return _pairs(met.where(passes(share, F.col("n"), F.col("pos"), F.col("one.n"), F.col("one.pos"))))
-
-
-def _pairs(met: DataFrame) -> DataFrame:
-    a, b = F.struct("id", "pos"), F.struct("one.id", "one.pos")
-    return met.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).select(
-        F.col("a.id").alias("a"), F.col("a.pos").alias("i"), F.col("b.id").alias("b"), F.col("b.pos").alias("j")
-    )
+    near = passes(share, F.col("n"), F.col("pos"), F.col("rest"), F.col("one.n"), F.col("one.pos"), F.col("one.rest"))
+    return met.where(near).select(F.least("id", "one.id").alias("a"), F.greatest("id", "one.id").alias("b"))
 
 
 def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
-    """All pairs of nodes of a key that are of different classes and pass the two filters; no task sees more than two blocks of a key."""
+    """All pairs of nodes of a key that are of different classes and pass the filters; no task sees more than two blocks of a key."""
     blocks = F.ceil(F.col("nodes") / BLOCK).cast("long")
     own = F.pmod(F.xxhash64("id"), blocks)
     tiles = F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1), lambda o: F.struct(F.least(own, o).alias("x"), F.greatest(own, o).alias("y")))
     group = ["key", "x", "y"]
-    dealt = rows.select("key", F.explode(tiles).alias("tile"), "id", "n", "pos", "class").select("key", "tile.*", "id", "n", "pos", "class")
+    held = ["id", "n", "pos", "class", "rest"]
+    dealt = rows.select("key", F.explode(tiles).alias("tile"), *held).select("key", "tile.*", *held)
     dealt = dealt.repartition(partitions(rows.sparkSession), *group).sortWithinPartitions(*group)
 
     def inside(rows: pd.DataFrame, groups: np.ndarray) -> pd.DataFrame:
         """The pairs of rows of one group, each with those after it, a distance at a time."""
         ids, n, pos, classes = (rows[c].to_numpy() for c in ("id", "n", "pos", "class"))
+        rest = np.array([np.asarray(r, np.int32) for r in rows["rest"]], np.int32).reshape(len(rows), RANGES)
         met, at, d = [], np.arange(len(rows)), 1
         while len(at):
             at = at[at + d < len(rows)]
@@ -255,12 +244,13 @@ def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
             m, i, n2, j = n[at], pos[at], n[at + d], pos[at + d]
             fits = (100 * np.minimum(m, n2) >= share * np.maximum(m, n2)) & (np.minimum(m - i, n2 - j) * (100 + share) >= share * (m + n2))
             found = at[fits & (classes[at] != classes[at + d])]
+            total = n[found] + n[found + d]
+            apart = pos[found] + pos[found + d] + np.abs(rest[found] - rest[found + d]).sum(axis=1)
+            found = found[apart <= total - 2 * -(-share * total // (100 + share))]
             met.append(np.c_[found, found + d])
             d += 1
-        pairs = np.concatenate(met or [np.empty((0, 2), np.int64)])
-        swap = ids[pairs[:, 0]] > ids[pairs[:, 1]]
-        pairs[swap] = pairs[swap][:, ::-1]
-        return pd.DataFrame({"a": ids[pairs[:, 0]], "i": pos[pairs[:, 0]], "b": ids[pairs[:, 1]], "j": pos[pairs[:, 1]]})
+        pairs = np.sort(ids[np.concatenate(met or [np.empty((0, 2), np.int64)])], axis=1)
+        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = None
@@ -276,7 +266,7 @@ def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
         if held is not None and len(held):
             yield inside(held, np.zeros(len(held), np.int64))
 
-    return dealt.mapInPandas(compare, "a long, i int, b long, j int")
+    return dealt.mapInPandas(compare, "a long, b long")
 
 
 def join_classes(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) -> DataFrame:
@@ -290,12 +280,14 @@ def join_classes(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) -> Da
         *[F.first(c).alias(c) for c in ("n", "prefix", "histogram")],
     )
     nodes = stored(firsts.withColumn("id", F.monotonically_increasing_id()), "nodes")  # written, so that the numbers stay
+    rows = replaced(rows, rows.select("doc_id", "node", "n"), "rows")
 
     under = entries(nodes).withColumn("class", F.col("id"))
     links = None
     for seed in range(ROUNDS + 1):
         pairs = _round_pairs(under, seed, share) if seed < ROUNDS else _tile_pairs(under, share)
-        found = stored(linked(pairs, nodes, docs, size, share), "found")
+        compared = linked(pairs, nodes, docs, size)
+        found = stored(compared.where(100 * F.col("same") >= share * (F.col("m") + F.col("n") - F.col("same"))).select("a", "b"), "found")
         links = found if links is None else links.union(found)
         if seed < ROUNDS:
             under = stored(_mixed(_with_classes(under, links)), "mixed")
