@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veilframe.llm.ngram_join import BITS, bit_filter, in_filter
-from veilframe.llm.shared import pack, running_total, stored, unpack
+from veilframe.llm.shared import batches_of, pack, replaced, running_total, stored, unpack
 
 #: Words of a phrase at most, and occurrences at least.
 WIDEST, LEAST = 5, 100
@@ -40,17 +40,19 @@ SUBSUMED = 100
 #: Phrases for each language.
 TOP = 2000
 #: Words of a chunk; a longer text is a chunk of its own.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
+#: Texts, and chunks, that a task holds at a time.
+TEXTS, CHUNKS = 500, 4
 #: Binary digits of a tile's side; tiles of one dense region are told apart by number.
 SIDE, TILES = 10, 64
 #: Pairs of a tile from which on it is counted densely, and pairs that are counted at a time.
-DENSE, FLUSH = 1 << 16, 1 << 22
+DENSE, FLUSH = 1 << 15, 1 << 21
+#: The lower half of a pair's code.
+HALF = 0xFFFFFFFF
 #: For the bit filter: a prime below its size, and two factors.
 PRIME, LEFT, RIGHT = BITS - 5, 2654435761, 1000003
 SEPARATORS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
-Pairs = tuple[np.ndarray, np.ndarray]
-
 
 def tokens(text: str | None) -> list[bytes]:
     """Words, with a line end wherever a piece ends."""
@@ -99,119 +101,122 @@ def chunks(docs: DataFrame) -> DataFrame:
     return rows.mapInPandas(encode, "chunk long, lang string, words array<string>, counts array<long>, codes binary")
 
 
-def count_cells(left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
-    """i, j, n: occurrences of each pair of numbers; the other columns of a state row are empty."""
-    tile = np.where((left < TILES << SIDE) & (right < TILES << SIDE), (left >> SIDE) * TILES + (right >> SIDE), TILES * TILES)
+def count_cells(codes: np.ndarray) -> pd.DataFrame:
+    """code, n: occurrences of each pair of numbers, one in either half of its code."""
+    row, column = codes >> 32 + SIDE, (codes & HALF) >> SIDE
+    tile = np.where((row < TILES) & (column < TILES), row * TILES + column, TILES * TILES).astype(np.uint16)
+    del row, column
     sizes = np.bincount(tile, minlength=TILES * TILES + 1)
     sizes[-1] = 0
     dense = (sizes >= DENSE)[tile]
-    codes, numbers = np.unique(left[~dense] << 32 | right[~dense], return_counts=True)
-    parts = [(codes >> 32, codes & 0xFFFFFFFF, numbers)]
-    order = np.argsort(tile[dense].astype(np.uint16), kind="stable")
-    inside = (left[dense] & (1 << SIDE) - 1) << SIDE | right[dense] & (1 << SIDE) - 1
-    inside, ends = inside[order], np.cumsum(sizes[sizes >= DENSE])
+    found, numbers = np.unique(codes[~dense], return_counts=True)
+    parts = [(found, numbers)]
+    codes, tile, side = codes[dense], tile[dense], (1 << SIDE) - 1
+    inside = ((codes >> 32 & side) << SIDE | codes & side).astype(np.int32)[np.argsort(tile, kind="stable")]
+    ends = np.cumsum(sizes[sizes >= DENSE])
     for number, start, end in zip(np.flatnonzero(sizes >= DENSE), np.r_[0, ends], ends, strict=False):
         cells = np.bincount(inside[start:end], minlength=1 << 2 * SIDE)
         found = np.flatnonzero(cells)
-        parts.append(((number // TILES << SIDE) + (found >> SIDE), (number % TILES << SIDE) + (found & (1 << SIDE) - 1), cells[found]))
-    i, j, n = (np.concatenate(p).astype(np.int64) for p in zip(*parts, strict=True))
-    return pd.DataFrame({"chunk": None, "words": None, "units": None, "i": i, "j": j, "n": n})
+        corner = (number // TILES << SIDE) << 32 | (number % TILES << SIDE)
+        parts.append((corner + (found >> SIDE << 32) + (found & side), cells[found]))
+    codes, n = (np.concatenate(p).astype(np.int64) for p in zip(*parts, strict=True))
+    return pd.DataFrame({"code": codes, "n": n})
 
 
-def pairs_of(units: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, Pairs]:
-    """Places, and numbers, of the pairs of a frequent phrase of ``size`` words and the word after it."""
+def pairs_of(units: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places, and numbers in the two halves of a code, of the pairs of a frequent phrase of ``size`` words and the word after it."""
     if len(units) <= size:
-        return np.empty(0, np.int64), (np.empty(0, np.int64), np.empty(0, np.int64))
+        return np.empty(0, np.int64), np.empty(0, np.int64)
     ahead = words[size:]
     fits = (units[: len(ahead)] >= 0) & (ahead >= 0)
     if size > 1:
         fits &= units[1 : len(ahead) + 1] >= 0  # the phrase without its first word is frequent as well
     at = np.flatnonzero(fits)
-    return at, (units[at], ahead[at])
+    return at, units[at] << 32 | ahead[at]
 
 
 class _Counter:
     """Collects pairs and counts them ``FLUSH`` at a time."""
 
     def __init__(self) -> None:
-        self.held: list[Pairs] = []
+        self.held: list[np.ndarray] = []
         self.size = 0
 
-    def add(self, pairs: Pairs) -> Iterator[pd.DataFrame]:
-        self.held.append(pairs)
-        self.size += len(pairs[0])
+    def add(self, codes: np.ndarray) -> Iterator[pd.DataFrame]:
+        self.held.append(codes)
+        self.size += len(codes)
         if self.size >= FLUSH:
             yield from self.flush()
 
     def flush(self) -> Iterator[pd.DataFrame]:
-        if self.size:
-            yield count_cells(*(np.concatenate(p) for p in zip(*self.held, strict=True)))
-        self.held, self.size = [], 0
-
-
-_STATE = "chunk long, words binary, units binary, i long, j long, n long"
+        codes, self.held, self.size = self.held, [], 0
+        if codes:
+            yield count_cells(np.concatenate(codes))
 
 
-def _state_row(chunk: int, words: np.ndarray, units: np.ndarray, size: int) -> pd.DataFrame:
-    return pd.DataFrame([{"chunk": chunk, "words": pack(words), "units": pack(units) if size > 1 else None, "i": None, "j": None, "n": None}])
+_STATE = "chunk long, words binary, units binary"
 
 
 def first_state(encoded: DataFrame, numbers: DataFrame) -> DataFrame:
-    """Rows of two kinds: chunks with their words' numbers, and counts of pairs of words."""
+    """chunk, words: the numbers of its words, -1 where none is frequent; units: null, since phrases of one word are the words."""
     known = encoded.select("chunk", "lang", F.posexplode("words").alias("at", "word")).join(numbers.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
     maps = known.groupBy("chunk").agg(F.collect_list(F.struct("at", "id")).alias("both")).select("chunk", "both.at", "both.id")
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells = _Counter()
         for batch in batches:
             for chunk, planes, at, ids in zip(*(batch[c] for c in ("chunk", "codes", "at", "id")), strict=True):
                 codes = unpack(planes)
                 table = np.full(max(codes.max(initial=0), at.max(initial=0)) + 2, -1, np.int64)  # the last place is that of -1
                 table[at] = ids
-                words = table[codes]
-                yield _state_row(chunk, words, words, 1)
-                yield from cells.add(pairs_of(words, words, 1)[1])
-        yield from cells.flush()
+                yield pd.DataFrame([{"chunk": chunk, "words": pack(table[codes]), "units": None}])
 
     return encoded.select("chunk", "codes").join(maps, "chunk").mapInPandas(number, _STATE)
 
 
+def count_pairs(state: DataFrame, size: int) -> DataFrame:
+    """code, f: how often each frequent phrase of ``size`` words has a frequent word after it."""
+
+    def cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counter = _Counter()
+        for batch in batches:
+            for words, units in zip(batch["words"], batch["units"], strict=True):
+                words = unpack(words)
+                yield from counter.add(pairs_of(words if units is None else unpack(units), words, size)[1])
+        yield from counter.flush()
+
+    return state.select("words", "units").mapInPandas(cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("f"))
+
+
 def next_state(state: DataFrame, frequent: DataFrame, size: int) -> DataFrame:
-    """As ``first_state``, from phrases of ``size`` words to those with one more; ``frequent`` has i, j, id."""
-    rows = state.where("chunk IS NOT NULL").select("chunk", "words", "units")
-    bits = state.sparkSession.sparkContext.broadcast(bit_filter(frequent.select(((F.col("i") * LEFT + F.col("j") * RIGHT) % PRIME).alias("key")), "key"))
+    """The state for phrases of one word more than ``size``, of which ``frequent`` has code and id."""
+    left, right = F.shiftright("code", 32), F.col("code").bitwiseAND(F.lit(HALF))
+    bits = state.sparkSession.sparkContext.broadcast(bit_filter(frequent.select(((left * LEFT + right * RIGHT) % PRIME).alias("key")), "key"))
 
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, words, units in zip(batch["chunk"], batch["words"], batch["units"], strict=True):
                 words = unpack(words)
-                _, (left, right) = pairs_of(words if units is None else unpack(units), words, size)
-                codes = np.unique(left << 32 | right)
-                left, right = codes >> 32, codes & 0xFFFFFFFF
-                some = in_filter(bits.value, (left * LEFT + right * RIGHT) % PRIME)
-                yield pd.DataFrame({"chunk": chunk, "i": left[some], "j": right[some]})
+                codes = np.unique(pairs_of(words if units is None else unpack(units), words, size)[1])
+                some = in_filter(bits.value, ((codes >> 32) * LEFT + (codes & HALF) * RIGHT) % PRIME)
+                yield pd.DataFrame({"chunk": chunk, "code": codes[some]})
 
-    known = rows.mapInPandas(present, "chunk long, i long, j long").join(frequent.select("i", "j", "id"), ["i", "j"])
-    maps = known.groupBy("chunk").agg(F.collect_list(F.struct("i", "j", "id")).alias("all")).select("chunk", "all.i", "all.j", "all.id")
+    known = state.mapInPandas(present, "chunk long, code long").join(frequent.select("code", "id"), "code")
+    maps = known.groupBy("chunk").agg(F.collect_list(F.struct("code", "id")).alias("all")).select("chunk", "all.code", "all.id")
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cells = _Counter()
         for batch in batches:
-            for chunk, words, units, i, j, ids in zip(*(batch[c] for c in ("chunk", "words", "units", "i", "j", "id")), strict=True):
-                words = unpack(words)
-                at, (left, right) = pairs_of(words if units is None else unpack(units), words, size)
-                keys = i << 32 | j
+            for chunk, planes, units, keys, ids in zip(*(batch[c] for c in ("chunk", "words", "units", "code", "id")), strict=True):
+                words = unpack(planes)
+                at, codes = pairs_of(words if units is None else unpack(units), words, size)
                 order = np.argsort(keys)
-                keys, codes = keys[order], left << 32 | right
+                keys = keys[order]
                 place = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
                 hit = keys[place] == codes
                 longer = np.full(len(words), -1, np.int64)
                 longer[at[hit]] = ids[order][place[hit]]
-                yield _state_row(chunk, words, longer, size + 1)
-                yield from cells.add(pairs_of(longer, words, size + 1)[1])
-        yield from cells.flush()
+                yield pd.DataFrame([{"chunk": chunk, "words": planes, "units": pack(longer)}])
 
-    return rows.join(maps, "chunk").mapInPandas(number, _STATE)
+    return state.join(maps, "chunk").mapInPandas(number, _STATE)
 
 
 def ranked(frequent: DataFrame, *ties: str) -> DataFrame:
@@ -222,23 +227,29 @@ def ranked(frequent: DataFrame, *ties: str) -> DataFrame:
 
 def frequencies(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """lang, phrase, size, f of all phrases of up to ``WIDEST`` words with ``least`` occurrences, and lang, n: all words."""
-    encoded = stored(chunks(docs), "chunks")
+    with batches_of(docs.sparkSession, TEXTS):
+        encoded = stored(chunks(docs), "chunks")
+    with batches_of(docs.sparkSession, CHUNKS):
+        return _frequencies(encoded, least)
+
+
+def _frequencies(encoded: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     cells = encoded.select("lang", F.explode(F.arrays_zip("words", "counts")).alias("one")).select("lang", "one.words", "one.counts").where("counts > 0")
     words = stored(cells.groupBy("lang", F.col("words").alias("phrase")).agg(F.sum("counts").alias("f")), "words")
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     singles = stored(ranked(words.where(F.col("f") >= least), "lang", "phrase"), "ranked")
     phrases, shorter = [singles.withColumn("size", F.lit(1))], singles
-    state = stored(first_state(encoded, singles), "state")
+    state = replaced(encoded, first_state(encoded, singles), "state")
     for size in range(1, WIDEST):
-        sums = state.where("chunk IS NULL").groupBy("i", "j").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-        frequent = stored(ranked(sums, "i", "j"), "ranked")
+        frequent = stored(ranked(count_pairs(state, size).where(F.col("f") >= least), "code"), "ranked")
         left = shorter.select(F.col("id").alias("i"), "lang", F.col("phrase").alias("before"))
         right = singles.select(F.col("id").alias("j"), F.col("phrase").alias("after"))
-        joined = frequent.join(left, "i").join(right, "j")
+        halves = frequent.select("f", "id", F.shiftright("code", 32).alias("i"), F.col("code").bitwiseAND(F.lit(HALF)).alias("j"))
+        joined = halves.join(left, "i").join(right, "j")
         shorter = stored(joined.select("lang", F.concat_ws(" ", "before", "after").alias("phrase"), "f", "id"), "phrases")
         phrases.append(shorter.withColumn("size", F.lit(size + 1)))
         if size + 1 < WIDEST:
-            state = stored(next_state(state, frequent, size), "state")
+            state = replaced(state, next_state(state, frequent, size), "state")
     out = phrases[0].select("lang", "phrase", "size", "f")
     for one in phrases[1:]:
         out = out.union(one.select("lang", "phrase", "size", "f"))
