@@ -227,16 +227,15 @@ def test_alignment_edges(spark, texts):
     assert token_alignment.aligned(rows_of(spark, EDGES).limit(0)).collect() == []
 
 
-def test_texts_are_cut_without_effect(texts, monkeypatch):
+def test_ids_are_those_of_the_given_vocabularies(texts, monkeypatch):
     tables = token_alignment.alignment()
-    odd = ["a  b   c", " a 's 'll don 't", "x\u00a0 y \u3000 z", "▁a ▁ b▁ c", "1 2 3.5 €9 %% $ -1", "中 文 🎉 é ß", "\x1c a \x85 b", "q \t w \n e", "<s> </s> <0x41> <|endoftext|> x"]
-    odd += ["".join(random.Random(k).choices("ab1é.'▁ \n\u00a0", k=200)) for k in range(300)]
-    for text in [*filter(None, texts.values()), *odd]:
-        pieces = tables.pieces_of(text)
-        assert " ".join(pieces) == text
-        assert [i for p in pieces for i in tables.a.encode(" " + p, add_special_tokens=False).ids] == tables.a.encode(" " + text, add_special_tokens=False).ids
-        assert [i for p in pieces for i in tables.b.encode(p)] == tables.b.encode(text)
-    monkeypatch.setattr(token_alignment, "KEPT", 50)  # forgets
-    monkeypatch.setattr(token_alignment, "AT_ONCE", 100)
-    known = tables.pieces({p for t in odd for p in tables.pieces_of(t)})
-    assert len(tables.kept) <= 50 and all(v is None or len(v[2]) <= min(v[:2]) for v in known.values())
+    assert tables.by_rank is not None
+    odd = ["a  b   c", " a 's 'll don 't I'M", "x\u00a0 y \u3000 z", "▁a ▁ b▁ c", "1 2 3.5 €9 %% $ -1 ½ Ⅷ ٣", "中 文 🎉 é ß e\u0301", "\x1c a \x85 b\x00", "q \t w \n e\r\n", "<s> </s> <0x41> <|endoftext|> x"]
+    odd += ["x" * 3000, " " * 3000, "a" + " " * 500 + "b", "\n" * 300, "é" * 700]
+    odd += ["".join(random.Random(k).choices("ab1é.'▁ \n\u00a0ǅ²ⅳ", k=200)) for k in range(300)]
+    everything = [*filter(None, texts.values()), *odd]
+    whole = [(tables.a.encode(" " + t, add_special_tokens=False).ids, tables.b.encode(t)) for t in everything]
+    for part in (1 << 16, 500):
+        monkeypatch.setattr(token_alignment, "PART", part)
+        a, b = tables.encode(everything)
+        assert [(x.tolist(), y.tolist()) for x, y in zip(a, b, strict=True)] == whole
