@@ -12,6 +12,7 @@ from veilframe.functions import scalars
 from veilframe.operators import queries, scoring
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.redaction import redact
+from veilframe.plans import registry
 from veilframe.session import scratch_path, spread
 from veilframe.sources import corpus, files, tables, words
 from veilframe.streaming import redact_stream as stream
@@ -229,3 +230,20 @@ def test_spread_only_small_scans(spark, sf_dir):
     assert spread(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(100, numPartitions=50)
     assert spread(many) is many
+
+
+def test_one_row_group_is_spread(spark, tmp_path):
+    """A scan of many splits, one of which holds all rows, becomes tasks of about as many rows each."""
+    rows = spark.range(0, 600_000, 1, 1).selectExpr("id AS o_orderkey", "id % 7 AS o_custkey", "rand() AS other")
+    path = tmp_path / "orders.parquet"
+    rows.write.option("parquet.block.size", 1 << 30).parquet(str(path))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", sum(f.stat().st_size for f in path.glob("part-*")) // 9)
+    try:
+        assert 8 <= spark.read.parquet(str(path)).rdd.getNumPartitions() < 12
+        texts = registry.orders_texts(spark, str(tmp_path), registry.ALL_CASES)
+        sizes = [r["count"] for r in texts.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(sizes) == 600_000 and max(sizes) < 60_000
+    few = spread(spark.range(1000).repartition(2), 20)
+    assert few.rdd.getNumPartitions() == 50

@@ -17,7 +17,7 @@ from veilframe.operators import conversations, dictionaries, distinct_counts, or
 from veilframe.operators.lexicon import NameLexicon
 from veilframe.operators.redaction import redact, redact_core, redact_names, redact_patterns
 from veilframe.plans import acceptance, oracles, templates
-from veilframe.session import scratch_path, spread
+from veilframe.session import PAGES, SENTENCES, scratch_path, spread
 from veilframe.sources import corpus, files, words
 from veilframe.streaming import redact_stream as stream
 
@@ -114,7 +114,7 @@ def distinct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orders_texts(spark: SparkSession, sf_dir: str, cases: list[tuple[str, str]], target: bool = False) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders")).selectExpr("o_orderkey AS k", "o_custkey AS c")
+    orders = spread(table(spark, sf_dir, "orders"), SENTENCES).selectExpr("o_orderkey AS k", "o_custkey AS c")
     columns = ["k AS o_orderkey", f"{templates.case_sql(cases, 0)} AS text"]
     if target:
         columns.append(f"{templates.case_sql(cases, 1)} AS target")
@@ -190,7 +190,7 @@ def documents_with_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = [("Zyxanna", True, False), ("Zyxschmidt", False, True), ("Zyxrose", True, False)]
     names = spark.createDataFrame(words, "word string, is_given boolean, is_surname boolean")
     lexicon = NameLexicon(names.selectExpr("*", "word = 'Zyxrose' AS is_ambiguous", "false AS is_stop"))
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), PAGES)
     return redact_names(documents.selectExpr("doc_id", f"{placed_names(0)} AS text"), "text", lexicon).drop("text")
 
 
@@ -198,7 +198,7 @@ def documents_with_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules over the documents, with a dictionary made from their own words; SQL can't express it."""
     documents = table(spark, sf_dir, "documents")
     lexicon = NameLexicon(document_words(documents))
-    result = redact(spread(documents.select("doc_id", "text")), "text", lexicon)
+    result = redact(spread(documents.select("doc_id", "text"), PAGES), "text", lexicon)
     tokens = F.regexp_extract_all("redacted", F.lit(r"\[(GIVENNAME|LASTNAME|TITLE)[0-9]*\]"), F.lit(1))
     return result.select(
         "doc_id",

@@ -56,13 +56,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Repartition a freshly scanned table that has fewer partitions than cores.
+#: Rows of a task where each row is a page of text, and where it is a sentence.
+PAGES, SENTENCES = 2_000, 50_000
 
-    A small Parquet file is one task however many cores there are, and the rule
-    chain is CPU-bound.  A table that already fills the cluster is returned as is,
-    so nothing is shuffled at scale.  Only for scans: counting the partitions of a
-    plan with joins could run part of it.
+
+def spread(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Repartition a freshly scanned table that has fewer partitions than cores or, given ``rows``, more rows in a
+    partition than that.
+
+    A small Parquet file is one task however many cores there are, and so is a row group: a scan may have partitions
+    without rows and others that hold millions. The rule chain is CPU-bound, and the tasks with the most rows then decide
+    how long it takes. The rows are counted from the footers of the files; they are shuffled before any work on them.
+    Only for scans: counting the partitions of a plan with joins could run part of it.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = max(cores, -(-df.count() // rows)) if rows else cores
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
