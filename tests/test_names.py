@@ -1,14 +1,17 @@
 """The name rules: written-out examples, and random texts against brute force."""
 
 import random
+import re
 
 import pytest
 from brute_names import Brute
 from pyspark.sql import functions as F
 
+from veilframe.functions import name_patterns as P
 from veilframe.functions.register import register_redact, register_redact_core
 from veilframe.operators import lookup
 from veilframe.operators.lexicon import NameLexicon, word_flags
+from veilframe.operators.names import NAME_RULES
 from veilframe.operators.redaction import redact, redact_names
 from veilframe.plans.registry import document_words
 
@@ -230,3 +233,56 @@ def test_dropped_dictionary(spark, name_words):
 def test_flag_sql(spark):
     table = f"array('{lookup.EDGE}', '{lookup.EDGE}')"
     assert spark.sql(f"SELECT {lookup.flag(table, chr(39) + 'Anna' + chr(39))} AS f").first().f == lookup.EDGE
+
+
+def _expanded(tree):
+    """The strings of a parsed pattern without open loops."""
+    out = [""]
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            more = [chr(arg)]
+        elif name == "IN":
+            more = [chr(a) for o, a in arg if str(o) == "LITERAL"]
+        elif name == "BRANCH":
+            more = [s for branch in arg[1] for s in _expanded(branch)]
+        elif name == "SUBPATTERN":
+            more = _expanded(arg[3])
+        elif name in ("MAX_REPEAT", "POSSESSIVE_REPEAT"):
+            more = ([""] if arg[0] == 0 else []) + (_expanded(arg[2]) if arg[1] else [])
+        else:
+            more = [""]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+@pytest.mark.parametrize(
+    ("rule_id", "pattern", "folded"),
+    [
+        ("N3", P.GIVEN_LABEL, True), ("N4", P.LAST_LABEL, True), ("N5", P.FULL_LABEL, True), ("N6", P.NAME_PHRASE, True),
+        ("N7", P.AUTHOR_PHRASE, True), ("N8", P.GREETING, False), ("N9", P.SIGNATURE, True),
+    ],
+)
+def test_look_ahead_lets_every_phrase_start(rule_id, pattern, folded):
+    first = next(rule.first for rule in NAME_RULES if rule.rule_id == rule_id)
+    phrases = {p for p in _expanded(re._parser.parse(pattern)) if len(p) > 2}
+    if folded:
+        phrases |= {p.upper().replace("ẞ", "SS") for p in phrases if not p.startswith("gez")}
+        phrases |= {p.replace("s", "ſ").replace("k", "K") for p in phrases if not p.startswith("gez")}
+    assert len(phrases) >= 8 and [p for p in phrases if not re.match(first, p)] == []
+
+
+def test_names_only_rules_need_no_more_than_the_table_says(spark):
+    """A part of a hyphenated word counts though it is a stop word; ambiguous names and stop words alone don't."""
+    rows = [("Zua", True, False, False, True), ("Zub", True, False, False, False), ("Zuc", True, False, True, False)]
+    columns = "word string, is_given boolean, is_surname boolean, is_ambiguous boolean, is_stop boolean"
+    lexicon = NameLexicon(spark.createDataFrame(rows, columns), stop_words=())
+    cases = {
+        "Hallo Zua-Zua da": "Hallo [GIVENNAME1] da",
+        "Hallo Zua da": "Hallo Zua da",
+        "Hallo Zuc da": "Hallo Zuc da",
+        "wie Zub Zuc da": "wie [GIVENNAME1] [GIVENNAME2] da",
+        "Hallo Xyz, gez. Xyz": "Hallo Xyz, gez. Xyz",
+    }
+    texts = spark.createDataFrame([(t,) for t in cases], "text string")
+    assert {r.text: r.redacted for r in redact_names(texts, "text", lexicon).collect()} == cases

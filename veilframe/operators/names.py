@@ -61,7 +61,7 @@ class NameRule(NamedTuple):
 
     rule_id: str
     pattern: str
-    first: str = ""  # characters a match starts with; s and k also as U+017F and U+212A
+    first: str = ""  # the characters a match starts with, place by place; s and k also as U+017F and U+212A
     lead: str = "$1"
     words: str = "$2"
     skipped: str = "''"  # code of the words before the taken ones
@@ -72,6 +72,13 @@ class NameRule(NamedTuple):
     value_end: bool = False  # the value has to end after the sequence
     or_titles: bool = False  # a sequence of titles becomes titles
     needs: tuple[str, ...] = ()  # a match holds one of these; a text without any is left alone
+    names_only: bool = False  # only an unambiguous name is ever replaced; a text without any is left alone
+
+    @property
+    def keeps_lead(self) -> bool:
+        """Whether the lead stays and decides nothing; it is then left out of what is offered."""
+        read = (self.taken, self.given, self.start, self.out_lead if self.out_lead != "lead" else "")
+        return not self.value_end and not any("lead" in sql for sql in read)
 
 
 def _prefix(code_regex: str) -> str:
@@ -123,7 +130,7 @@ NAME_RULES: tuple[NameRule, ...] = (
     NameRule(
         "N3",
         _labelled(P.GIVEN_LABEL),
-        first="[ZzDdVvRrFfGgSs\u017fMm]",
+        first="[ZzDdVvRrFfGgSs\u017fMm][WwRrOoUuIiEe][EeIiRrFfVvCcDd]",
         given="length(names)",
         start=_LABEL_START,
         needs=P.SEPARATORS,
@@ -131,7 +138,7 @@ NAME_RULES: tuple[NameRule, ...] = (
     NameRule(
         "N4",
         _labelled(P.LAST_LABEL),
-        first="[ZzDdNnFfGgSs\u017fLl]",
+        first="[ZzDdNnFfGgSs\u017fLl][WwRrAaEeUu][EeIiCcMmBbRrSs\u017f]",
         given="0",
         start=_LABEL_START,
         needs=P.SEPARATORS,
@@ -139,32 +146,41 @@ NAME_RULES: tuple[NameRule, ...] = (
     NameRule(
         "N5",
         _labelled(P.FULL_LABEL),
-        first="[NnFfVvPpTtMmKk\u212aAa]",
+        first="[NnFfVvPpTtMmKk\u212aAa][AaUuOoEeIiNn][MmLlTtIiNnSs\u017fRr]",
         taken=f"if({_any_unambiguous('code')}, code, '')",
         needs=P.SEPARATORS,
+        names_only=True,
     ),
     # Phrases, greetings and signatures.
     NameRule(
         "N6",
         rf"({P.NAME_PHRASE})({P.name_sequence(3)})",
-        first=r"[MmIi]",
+        first="[MmIi][EeCcYy][IiHh ]",
         taken=_prefix(ANY_FIRST),
         given=_PHRASE_GIVEN,
     ),
     NameRule(
         "N7",
         rf"({P.AUTHOR_PHRASE})({P.name_sequence(3)})",
-        first="[AaBbCcEeFfGgHhKk\u212aNnPpSs\u017fUuVvWwZz]",
+        first="[AaBbCcEeFfGgHhKk\u212aNnPpSs\u017fUuVvWwZz][OoRrEeAaNnIiPp][MmTtIiEeCcRrFfLlSs\u017fNnPpGg]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
         needs=(" von ", " by "),
+        names_only=True,
+    ),
+    NameRule(
+        "N8",
+        rf"({P.GREETING})({P.name_sequence(3)})",
+        first="[LHDSMG][iaeou][elyarhit ,]",
+        taken=_prefix(UNAMBIGUOUS_FIRST),
+        names_only=True,
     ),
-    NameRule("N8", rf"({P.GREETING})({P.name_sequence(3)})", first="[LHDSMG]", taken=_prefix(UNAMBIGUOUS_FIRST)),
     NameRule(
         "N9",
         rf"({P.SIGNATURE})({P.name_sequence(3)})",
-        first="[BbCcFfgHhKk\u212aLlMmRrSs\u017fVv]",
+        first="[BbCcFfgHhKk\u212aLlMmRrSs\u017fVv][IiRrEeCcHh][TtEeSs\u017fRrHhNnGgZz]",
         taken=_prefix(UNAMBIGUOUS_FIRST),
         needs=("\n", "\\n", "gez."),
+        names_only=True,
     ),
     # A value that stands alone and is made up of names only.
     NameRule(
@@ -189,6 +205,7 @@ NAME_RULES: tuple[NameRule, ...] = (
             f"if({_any_unambiguous(f'regexp_extract(code, {literal(RUN)}, 0)')}, "
             f"regexp_extract(code, {literal(RUN)}, 0), '')"
         ),
+        names_only=True,
     ),
 )
 
@@ -223,15 +240,17 @@ def _tokens(rule: NameRule) -> str:
         "if(skip + length(taken) < size(words), "
         "' ' || array_join(slice(words, skip + length(taken) + 1, size(words)), ' '), '')"
     )
-    labelled = f"{rule.out_lead} || {before} || {labelled} || {after}"
+    out_lead = "" if rule.keeps_lead else f"{rule.out_lead} || "
+    labelled = f"{out_lead}{before} || {labelled} || {after}"
     labelled = bind(rule.start, "first", labelled)
     labelled = bind(rule.given, "given", bind(f"length({rule.skipped})", "skip", labelled))
     return bind("replace(taken, 'p', '')", "names", labelled)
 
 
 def _rewrite(rule: NameRule, table: str) -> str:
-    """The new text of one offered part ``x``."""
-    labelled = bind(rule.taken, "taken", f"if(taken = '', lead || seq, {_tokens(rule)})")
+    """The new text of one offered part."""
+    same = "seq" if rule.keeps_lead else "lead || seq"
+    labelled = bind(rule.taken, "taken", f"if(taken = '', {same}, {_tokens(rule)})")
     labelled = bind("split(seq, ' ')", "words", bind(_code(table), "code", labelled))
     if rule.or_titles:
         labelled = f"if(rlike(seq, {_TITLES_ONLY}), lead || {_AS_TITLES.format('seq')}, {labelled})"
@@ -243,26 +262,38 @@ def _marked(text: str, pattern: str, first: str, template: str) -> str:
     return f"regexp_replace({text}, {literal(f'(?Umd){ahead}(?:{exact_fold(pattern)})')}, {literal(template)})"
 
 
-def _apply(marked: str, rewrite: str) -> str:
+def _apply(marked: str, rewrite: str, lead: bool = True) -> str:
     """Split at the edges, rewrite what lies between them, join again."""
-    body = bind(f"split(x, '{MID}')", "y", bind("y[0]", "lead", bind("y[1]", "seq", rewrite)))
-    joined = f"array_join(transform(split(m, '{EDGE}'), (x, i) -> if(i % 2 = 0, x, {body})), '')"
+    body = bind(f"split(x, '{MID}')", "y", bind("y[0]", "lead", bind("y[1]", "seq", rewrite))) if lead else rewrite
+    part = "x" if lead else "seq"
+    joined = f"array_join(transform(split(m, '{EDGE}'), ({part}, i) -> if(i % 2 = 0, {part}, {body})), '')"
     return bind(marked, "m", f"if(contains(m, '{EDGE}'), {joined}, m)")
 
 
-def _where_needed(text: str, needs: tuple[str, ...], rewrite: Callable[[str], str]) -> str:
-    """``rewrite`` for texts that hold one of ``needs``; each pass it leaves out is a copy of the text saved."""
-    if not needs:
-        return rewrite(text)
+def _where_needed(text: str, needs: tuple[str, ...], rewrite: Callable[[str], str], listed: str = "") -> str:
+    """``rewrite`` for texts that hold one of ``needs`` and meet ``listed``; each pass it leaves out is a copy of the
+    text saved."""
     held = " OR ".join(f"contains(src, {literal(part)})" for part in needs)
-    return bind(text, "src", f"if({held}, {rewrite('src')}, src)")
+    conditions = " AND ".join(f"({condition})" for condition in (held, listed) if condition)
+    return bind(text, "src", f"if({conditions}, {rewrite('src')}, src)") if conditions else rewrite(text)
+
+
+def _holds_name(table: str) -> str:
+    """Whether the look-up table holds a word that makes a letter of ``UNAMBIGUOUS``, alone or as a part of a hyphenated
+    word, where being a stop word doesn't count."""
+    digits = "".join(d for k, d in enumerate(FLAG_DIGITS) if k & 3 and not k & 4)
+    return f"exists({table}, b -> rlike(b, '{MID}[{digits}]'))"
 
 
 def _rule_sql(text: str, rule: NameRule, table: str) -> str:
-    return _where_needed(text, rule.needs, lambda source: _rewritten(source, rule, table))
+    listed = _holds_name(table) if rule.names_only else ""
+    return _where_needed(text, rule.needs, lambda source: _rewritten(source, rule, table), listed)
 
 
 def _rewritten(text: str, rule: NameRule, table: str) -> str:
+    if rule.keeps_lead:
+        marked = _marked(text, rule.pattern, rule.first, f"{rule.lead}{EDGE}{rule.words}{EDGE}")
+        return _apply(marked, _rewrite(rule, table), lead=False)
     marked = _marked(text, rule.pattern, rule.first, f"{EDGE}{rule.lead}{MID}{rule.words}{EDGE}")
     if rule.value_end:
         # Tested after the match is made, so that a failed test cannot shorten the
