@@ -108,6 +108,32 @@ def test_filters_lose_no_pair():
         assert i + j + abs(left - right).sum() <= len(x) + len(y) - 2 * -(-90 * (len(x) + len(y)) // 190)
 
 
+def test_a_pair_that_met_is_not_compared_again(spark, monkeypatch):
+    """Two sets just below the limit share keys that nothing else holds; the first round settles them, in whatever order."""
+    rng, given, linked = random.Random(5), [], ngram_join.linked
+    base = [f"{w}x{k}" for k, w in enumerate(rng.choices(WORDS, k=300))]
+    other = [f"y{k}" if k % 50 == 20 else w for k, w in enumerate(base)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(other))], "doc_id long, text string")
+
+    def counted(pairs, *args):
+        given.append(pairs.distinct().count())
+        return linked(pairs, *args)
+
+    monkeypatch.setattr(ngram_join, "linked", counted)
+    monkeypatch.setattr(ngram_join, "bucket_levels", lambda *_: np.zeros(ngram_join.BUCKETS, np.uint8))
+    assert sorted(r.component_id for r in ngram_join.join_classes(docs).collect()) == [1, 2]
+    assert given == [1, 0, 0]
+
+
+def test_suffixes_of_many_prefixes():
+    rng = np.random.default_rng(2)
+    sets = [rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) for n in (1, 40, 7)]
+    whole, lengths = np.array([ngram_join.histogram(s) for s in sets]), np.array([1, 9, 3])
+    keys = np.concatenate([s[:k] for s, k in zip(sets, lengths, strict=True)]).view(np.int64)
+    got = ngram_join.suffixes(keys, np.cumsum(lengths) - lengths, np.repeat(np.arange(3), lengths), whole)
+    assert got.tolist() == [ngram_join.histogram(s[at + 1 :]).tolist() for s, k in zip(sets, lengths, strict=True) for at in range(k)]
+
+
 # Collocations
 
 

@@ -14,10 +14,12 @@ and is then compared once, by both whole sets.
 
 What joins is a set, not a document: equal sets are one node, so copies are never paired.  A
 key's nodes are first compared with one of them only, in ``ROUNDS`` rounds with another one
-each time and only where the key still holds nodes of several classes.  What is of one class
-needs no further comparison; all other pairs under a key are compared in tiles of ``BLOCK``
-rows by ``BLOCK`` rows, so that no task sees a whole hot key.  A pair's bound holds at the first
-n-gram both share; the last stage visits every key, so no pair is lost.
+each time and only where the key still holds nodes of several classes.  That one has then met
+all others under the key and leaves it; a key of two nodes is done after one round.  What is of
+one class needs no further comparison; all other pairs under a key are compared in tiles of
+``BLOCK`` rows by ``BLOCK`` rows, so that no task sees a whole hot key.  A pair's bound holds at
+the first n-gram both share, and every key is visited until all its pairs have met, so no pair is
+lost.
 
 N-grams and sets are 64-bit and 128-bit hashes; counts go into the join exactly.
 
@@ -34,20 +36,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veilframe.llm.components import components
-from veilframe.llm.shared import batches_of, partitions, replaced, row_key, stored
+from veilframe.llm.shared import batches_of, pack, partitions, replaced, row_key, stored, unpack
 
 #: Words of an n-gram, and the coefficient from which on two sets are linked, in percent.
 SHINGLE, SHARE = 3, 90
-#: Hash buckets in which n-grams are counted; the table that tasks get holds a byte for each.
-BUCKETS = 1 << 18
-#: Ranges of the suffix filter.
-RANGES = 32
+#: Hash buckets in which n-grams are counted; the table that tasks get holds a byte for each.  Parts in which counts are sent.
+BUCKETS, PARTS = 1 << 22, 1 << 7
+#: Ranges of the suffix filter, and the highest count it is told; lower differences let more pairs through, never fewer.
+RANGES, HIGHEST = 32, (1 << 15) - 1
 #: Bits of the filters for keys and rows; their size doesn't depend on the data.
 BITS = 1 << 26
 #: Rounds in which a key's nodes are compared with one of them.
@@ -81,28 +84,28 @@ def prefix_length(n: int, share: int) -> int:
 def bucket_levels(docs: DataFrame, size: int) -> np.ndarray:
     """For each hash bucket a byte that grows with the logarithm of its n-grams' occurrences in all texts.
 
-    Tasks send counts of buckets, summed in Spark; at most ``BUCKETS`` small rows come to the driver.
+    Tasks send their counts in ``PARTS`` parts, which Spark gathers and adds up; a byte for each bucket comes to the driver.
     """
 
     def counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, held, size_held = np.zeros(BUCKETS, np.int64), [], 0
+        total = np.zeros(BUCKETS, np.int64)
         for batch in batches:
             for text in batch["text"]:
-                held.append(_bucket(ngrams(text, size)))
-                size_held += len(held[-1])
-                if size_held >= BUCKETS:
-                    total += np.bincount(np.concatenate(held), minlength=BUCKETS)
-                    held, size_held = [], 0
-        if held:
-            total += np.bincount(np.concatenate(held), minlength=BUCKETS)
-        found = np.flatnonzero(total)
-        yield pd.DataFrame({"bucket": found.astype(np.int32), "n": total[found]})
-
-    summed = docs.select("text").mapInPandas(counts, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    rows = summed.select("bucket", F.floor(F.log2("n") * 4).cast("byte").alias("level")).toArrow()
-    levels = np.zeros(BUCKETS, np.uint8)
-    levels[rows["bucket"].to_numpy()] = rows["level"].to_numpy()
-    return levels
+                np.add.at(total, _bucket(ngrams(text, size)), 1)
+        parts = total.reshape(PARTS, -1)
+        some = np.flatnonzero(parts.any(axis=1))
+        yield pd.DataFrame({"part": some.astype(np.int32), "counts": [pack(parts[k]) for k in some]})
+
+    def level(part: pd.DataFrame) -> pd.DataFrame:
+        total = sum(map(unpack, part["counts"]))
+        levels = np.floor(np.log2(np.maximum(total, 1)) * 4).astype(np.uint8)
+        return pd.DataFrame({"part": part["part"][:1], "levels": [levels.tobytes()]})
+
+    sent = docs.select("text").mapInPandas(counts, "part int, counts binary")
+    levels = np.zeros((PARTS, BUCKETS // PARTS), np.uint8)
+    for r in sent.groupBy("part").applyInPandas(level, "part int, levels binary").collect():
+        levels[r["part"]] = np.frombuffer(r["levels"], np.uint8)
+    return levels.ravel()
 
 
 def ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
@@ -112,7 +115,7 @@ def ordered(hashes: np.ndarray, levels: np.ndarray) -> np.ndarray:
 
 def histogram(hashes: np.ndarray) -> np.ndarray:
     """How many n-grams fall in each range."""
-    return np.bincount((hashes >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64), minlength=RANGES)
+    return np.bincount(_range(hashes), minlength=RANGES)
 
 
 def sketches(docs: DataFrame, levels: Broadcast, size: int, share: int) -> DataFrame:
@@ -148,36 +151,59 @@ def in_filter(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def entries(nodes: DataFrame) -> DataFrame:
-    """key, id, n, pos, rest, nodes: the prefix n-grams that stand in two prefixes or more.
+    """key, id, n, pos, rest: the prefix n-grams that stand in two prefixes or more, and few others.
 
     ``rest`` counts the n-grams after the place by range, which is what the suffix filter needs to know of a set.
     """
     spark = nodes.sparkSession
     counted = nodes.select(F.explode("prefix").alias("key")).groupBy("key").agg(F.count("*").alias("nodes"))
-    repeated = stored(counted.where("nodes > 1"), "keys")
-    bits = spark.sparkContext.broadcast(bit_filter(repeated, "key"))
+    bits = spark.sparkContext.broadcast(bit_filter(counted.where("nodes > 1"), "key"))
 
-    @F.pandas_udf("array<struct<key: long, pos: int, rest: array<int>>>")
-    def perhaps(prefixes: pd.Series, counts: pd.Series) -> pd.Series:
-        out = []
-        for prefix, whole in zip(prefixes, counts, strict=True):
-            out.append([{"key": int(prefix[k]), "pos": int(k), "rest": _suffix(prefix, whole, k)} for k in np.flatnonzero(in_filter(bits.value, prefix))])
-        return pd.Series(out)
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            prefixes, whole = batch.column("prefix"), batch.column("histogram").flatten().to_numpy().reshape(-1, RANGES)
+            keys, lengths = prefixes.flatten().to_numpy(), prefixes.value_lengths().to_numpy()
+            starts = np.cumsum(lengths) - lengths
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            at = np.flatnonzero(in_filter(bits.value, keys))
+            rest = np.minimum(suffixes(keys, starts, owner, whole)[at], HIGHEST).astype(np.int16)
+            owner = owner[at]
+            columns = {
+                "key": pa.array(keys[at]),
+                "id": batch.column("id").take(pa.array(owner)),
+                "n": batch.column("n").take(pa.array(owner)),
+                "pos": pa.array((at - starts[owner]).astype(np.int32)),
+                "rest": pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * RANGES, rest.ravel()),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
 
-    placed = nodes.select("id", "n", F.explode(perhaps("prefix", "histogram")).alias("one")).select("id", "n", "one.*")
-    wanted = repeated.select(F.col("key").alias("k"), "nodes")
-    return stored(placed.join(wanted, F.col("key") == F.col("k")).drop("k"), "entries")
+    with batches_of(spark, TEXTS):
+        return stored(nodes.select("id", "n", "prefix", "histogram").mapInArrow(placed, "key long, id long, n long, pos int, rest array<short>"), "entries")
 
 
 def passes(share: int, m: Column, i: Column, a: Column, n: Column, j: Column, b: Column) -> Column:
     """Length, positional and suffix filter for sets of m and n n-grams that share those at places i and j, with counts a and b after them."""
     long_enough = 100 * F.least(m, n) >= share * F.greatest(m, n)
     enough_left = F.least(m - i, n - j) * (100 + share) >= share * (m + n)
-    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x - y)), F.lit(0), lambda total, x: total + x)
+    apart = F.aggregate(F.zip_with(a, b, lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda total, x: total + x)
     most = m + n - 2 * F.ceil(share * (m + n) / F.lit(100 + share)).cast("long")
     return long_enough & enough_left & (i + j + apart <= most)
 
 
+def _range(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - RANGES.bit_length() + 1)).astype(np.int64)
+
+
+def suffixes(keys: np.ndarray, starts: np.ndarray, owner: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    """For each place of prefixes that stand one after the other: how many n-grams of its set come after it, by range."""
+    until = np.zeros((len(keys) + 1, RANGES), np.int32)
+    until[np.arange(1, len(keys) + 1), _range(keys.view(np.uint64))] = 1
+    np.cumsum(until, axis=0, out=until)
+    return whole[owner] - (until[1:] - until[starts[owner]])
+
+
 def _suffix(prefix: np.ndarray, counts: np.ndarray, at: int) -> np.ndarray:
     return counts - histogram(np.asarray(prefix[: at + 1], np.int64).view(np.uint64)).astype(np.int32)
 
@@ -196,7 +222,7 @@ def linked(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int) -> Da
         return pd.Series([ngrams(t, size).view(np.int64) if f else None for f, t in zip(marked, texts, strict=True)])
 
     rows = docs.select(*row_key(F.col("doc_id"), F.col("text")), "text").select("key_id", "key_hash", whole("key_hash", "text").alias("grams"))
-    sets = rows.where("grams IS NOT NULL").join(wanted, ["key_id", "key_hash"]).dropDuplicates(["id"]).select("id", "grams")
+    sets = rows.where("grams IS NOT NULL").join(wanted, ["key_id", "key_hash"]).dropDuplicates(["key_id", "key_hash"]).select("id", "grams")
     with batches_of(spark, TEXTS):
         sets = stored(sets, "sets")
     u, w = sets.toDF("a", "u"), sets.toDF("b", "w")
@@ -211,16 +237,20 @@ def _with_classes(rows: DataFrame, links: DataFrame) -> DataFrame:
 def _mixed(rows: DataFrame) -> DataFrame:
     """Rows under keys that hold several classes; ``nodes`` says how many rows a key has."""
     found = rows.groupBy(F.col("key").alias("k")).agg(F.min("class").alias("p"), F.max("class").alias("q"), F.count("*").alias("nodes")).where("p <> q")
-    return rows.drop("nodes").join(found.select("k", "nodes"), F.col("key") == F.col("k")).drop("k")
+    return rows.join(found.select("k", "nodes"), F.col("key") == F.col("k")).drop("k")
 
 
-def _round_pairs(rows: DataFrame, seed: int, share: int) -> DataFrame:
-    """Each node of a key with one of its nodes, another one for each seed."""
+def _met(rows: DataFrame, seed: int, share: int) -> DataFrame:
+    """Each row beside one node of its key, another one for each seed: ``one`` its id, ``near`` whether both are to be compared.
+
+    ``others`` counts what the key holds besides that node.  Hashes of ids with one seed are never equal.
+    """
+    held = ["key", "id", "n", "pos", "rest", "class"]
     one = F.min_by(F.struct("id", "n", "pos", "rest", "class"), F.xxhash64(F.lit(seed), "id")).alias("one")
-    anchors = rows.groupBy(F.col("key").alias("k")).agg(one)
-    met = rows.join(anchors, F.col("key") == F.col("k")).where(F.col("class") != F.col("one.class"))
+    anchors = rows.groupBy(F.col("key").alias("k")).agg(one, (F.count("*") - 1).alias("others")).where("others > 0")
     near = passes(share, F.col("n"), F.col("pos"), F.col("rest"), F.col("one.n"), F.col("one.pos"), F.col("one.rest"))
-    return met.where(near).select(F.least("id", "one.id").alias("a"), F.greatest("id", "one.id").alias("b"))
+    met = rows.join(anchors, F.col("key") == F.col("k")).where(F.col("id") != F.col("one.id"))
+    return met.select(*held, "others", F.col("one.id").alias("one"), (near & (F.col("class") != F.col("one.class"))).alias("near"))
 
 
 def _tile_pairs(rows: DataFrame, share: int) -> DataFrame:
@@ -285,12 +315,16 @@ def join_classes(docs: DataFrame, size: int = SHINGLE, share: int = SHARE) -> Da
     under = entries(nodes).withColumn("class", F.col("id"))
     links = None
     for seed in range(ROUNDS + 1):
-        pairs = _round_pairs(under, seed, share) if seed < ROUNDS else _tile_pairs(under, share)
+        if seed < ROUNDS:
+            met = stored(_met(under, seed, share), "met")
+            pairs = met.where("near").select(F.least("id", "one").alias("a"), F.greatest("id", "one").alias("b"))
+        else:
+            pairs = _tile_pairs(under, share)
         compared = linked(pairs, nodes, docs, size)
         found = stored(compared.where(100 * F.col("same") >= share * (F.col("m") + F.col("n") - F.col("same"))).select("a", "b"), "found")
         links = found if links is None else links.union(found)
         if seed < ROUNDS:
-            under = stored(_mixed(_with_classes(under, links)), "mixed")
+            under = replaced(met, _mixed(_with_classes(met.where("others > 1").drop("others", "one", "near"), links)), "mixed")
 
     named = stored(_with_classes(nodes.select("node", "id", "least"), links), "classes")
     least = named.groupBy(F.col("class").alias("c")).agg(F.min("least").alias("component_id"))
