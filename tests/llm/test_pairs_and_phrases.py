@@ -188,6 +188,25 @@ def test_phrase_edges(spark):
     assert [tuple(r) for r in rows] == [("und", 1, "a b", 200, 200, 200, 400, 2000)]
 
 
+def test_what_no_longer_phrase_can_hold_is_not_kept():
+    units, words = np.array([5, 6, -1, 7, 8, 9, -1, 4]), np.array([1, 2, 3, 4, 5, 6, 7, 8])
+    kept, after = phrases.extendable(units, words, 2)
+    assert kept.tolist() == [5, 6, -1, 7, 8, 9, -1, -1] and after.tolist() == [-1, -1, 3, -1, -1, 6, 7, -1]
+    for a, b in zip(phrases.pairs_of(units, words, 2), phrases.pairs_of(kept, after, 2), strict=True):
+        assert a.tolist() == b.tolist()
+    numbers = np.arange(-1, 5000)
+    assert phrases.spread_out(phrases.squeeze(numbers)).tolist() == numbers.tolist()
+
+
+def test_only_frequent_words_are_looked_up(spark, monkeypatch):
+    """A chunk asks for the numbers of words that may be frequent, not of all it holds."""
+    docs = spark.createDataFrame([("en", " ".join(f"a b r{k} s{k}" for k in range(300)))], "lang string, text string")
+    sent, mapped = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda df, f, schema: sent.append(mapped(df, f, schema)) or sent[-1])
+    assert [tuple(r)[2:4] for r in phrases.collocations(docs).collect()] == [("a b", 300)]
+    assert len(sent) == 1 and sent[0].count() < 20
+
+
 def test_scores_beyond_64_bits(spark):
     big = 4 * 10**12
     counted = spark.createDataFrame([("x", "a", 1, big), ("x", "b", 1, big - 1), ("x", "a b", 2, big - 3)], "lang string, phrase string, size int, f long")

@@ -11,7 +11,7 @@ last and without its first word are.
 Texts are dictionary-encoded once, in chunks of one language of about ``CHUNK`` words.  For each length the
 chunks ask for the numbers of what stands in them (a join over distinct pairs of chunk and pair,
 thinned out by a bit filter of fixed size over the frequent pairs), so no task needs a whole
-dictionary, whatever its size.
+dictionary, whatever its size.  They ask and keep only what can still be part of a longer phrase.
 
 Defined cases: pieces end at ``[.,;:!?]`` and at line ends, words at blanks and tabs; words are
 lower-cased in A-Z only; a null text is empty, a null language is ``und``; repeated rows count as
@@ -20,12 +20,14 @@ often as they stand; an empty table gives no row; columns beyond lang and text d
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from itertools import count
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -54,6 +56,15 @@ PRIME, LEFT, RIGHT = BITS - 5, 2654435761, 1000003
 SEPARATORS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
 
+def squeeze(numbers: np.ndarray) -> bytes:
+    """Packed, and compressed by how often each byte occurs, which a shuffle's own compression doesn't do."""
+    return zlib.compress(pack(numbers), 1)
+
+
+def spread_out(packed: bytes) -> np.ndarray:
+    return unpack(zlib.decompress(packed))
+
+
 def tokens(text: str | None) -> list[bytes]:
     """Words, with a line end wherever a piece ends."""
     data = (text or "").encode().lower().translate(SEPARATORS).replace(b"\n", b" \n ")
@@ -77,7 +88,7 @@ class _Chunk:
         codes[codes == end] = -1  # the number of the piece end stays unused
         if end >= 0:
             counts[end] = 0
-        return {"chunk": chunk, "lang": lang, "words": [w.decode("utf-8", "replace") for w in words], "counts": counts, "codes": pack(codes)}
+        return {"chunk": chunk, "lang": lang, "words": [w.decode("utf-8", "replace") for w in words], "counts": counts, "codes": squeeze(codes)}
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -135,6 +146,15 @@ def pairs_of(units: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarra
     return at, units[at] << 32 | ahead[at]
 
 
+def extendable(units: np.ndarray, words: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Units of ``size`` words and words without those that no longer phrase can hold: -1 stands for them."""
+    at, _ = pairs_of(units, words, size)
+    places = np.concatenate([at, at + 1])
+    kept, after = np.full(len(units), -1, np.int64), np.full(len(words), -1, np.int64)
+    kept[places], after[at + size] = units[places], words[at + size]
+    return kept, after
+
+
 class _Counter:
     """Collects pairs and counts them ``FLUSH`` at a time."""
 
@@ -159,16 +179,34 @@ _STATE = "chunk long, words binary, units binary"
 
 def first_state(encoded: DataFrame, numbers: DataFrame) -> DataFrame:
     """chunk, words: the numbers of its words, -1 where none is frequent; units: null, since phrases of one word are the words."""
-    known = encoded.select("chunk", "lang", F.posexplode("words").alias("at", "word")).join(numbers.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
+    name = lambda word: F.xxhash64("lang", word)
+    bits = encoded.sparkSession.sparkContext.broadcast(bit_filter(numbers.select(name("phrase").alias("key")), "key"))
+
+    def perhaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lengths = batch.column("keys").flatten().to_numpy(), batch.column("keys").value_lengths().to_numpy()
+            owner = np.repeat(np.arange(len(lengths)), lengths)
+            some = np.flatnonzero(in_filter(bits.value, keys))
+            owner = owner[some]
+            columns = {
+                "chunk": batch.column("chunk").take(pa.array(owner)),
+                "lang": batch.column("lang").take(pa.array(owner)),
+                "at": pa.array((some - (np.cumsum(lengths) - lengths)[owner]).astype(np.int32)),
+                "word": batch.column("words").flatten().take(pa.array(some)),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    asked = encoded.select("chunk", "lang", "words", F.transform("words", name).alias("keys"))
+    known = asked.mapInArrow(perhaps, "chunk long, lang string, at int, word string").join(numbers.select("lang", F.col("phrase").alias("word"), "id"), ["lang", "word"])
     maps = known.groupBy("chunk").agg(F.collect_list(F.struct("at", "id")).alias("both")).select("chunk", "both.at", "both.id")
 
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, planes, at, ids in zip(*(batch[c] for c in ("chunk", "codes", "at", "id")), strict=True):
-                codes = unpack(planes)
+                codes = spread_out(planes)
                 table = np.full(max(codes.max(initial=0), at.max(initial=0)) + 2, -1, np.int64)  # the last place is that of -1
                 table[at] = ids
-                yield pd.DataFrame([{"chunk": chunk, "words": pack(table[codes]), "units": None}])
+                yield pd.DataFrame([{"chunk": chunk, "words": squeeze(table[codes]), "units": None}])
 
     return encoded.select("chunk", "codes").join(maps, "chunk").mapInPandas(number, _STATE)
 
@@ -180,8 +218,8 @@ def count_pairs(state: DataFrame, size: int) -> DataFrame:
         counter = _Counter()
         for batch in batches:
             for words, units in zip(batch["words"], batch["units"], strict=True):
-                words = unpack(words)
-                yield from counter.add(pairs_of(words if units is None else unpack(units), words, size)[1])
+                words = spread_out(words)
+                yield from counter.add(pairs_of(words if units is None else spread_out(units), words, size)[1])
         yield from counter.flush()
 
     return state.select("words", "units").mapInPandas(cells, "code long, n long").groupBy("code").agg(F.sum("n").alias("f"))
@@ -195,10 +233,13 @@ def next_state(state: DataFrame, frequent: DataFrame, size: int) -> DataFrame:
     def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, words, units in zip(batch["chunk"], batch["words"], batch["units"], strict=True):
-                words = unpack(words)
-                codes = np.unique(pairs_of(words if units is None else unpack(units), words, size)[1])
+                words = spread_out(words)
+                at, codes = pairs_of(words if units is None else spread_out(units), words, size)
                 some = in_filter(bits.value, ((codes >> 32) * LEFT + (codes & HALF) * RIGHT) % PRIME)
-                yield pd.DataFrame({"chunk": chunk, "code": codes[some]})
+                perhaps = np.full(len(words), -1, np.int64)
+                perhaps[at[some]] = codes[some]
+                codes = np.unique(extendable(perhaps, words, size + 1)[0])
+                yield pd.DataFrame({"chunk": chunk, "code": codes[codes >= 0]})
 
     known = state.mapInPandas(present, "chunk long, code long").join(frequent.select("code", "id"), "code")
     maps = known.groupBy("chunk").agg(F.collect_list(F.struct("code", "id")).alias("all")).select("chunk", "all.code", "all.id")
@@ -206,15 +247,16 @@ def next_state(state: DataFrame, frequent: DataFrame, size: int) -> DataFrame:
     def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for chunk, planes, units, keys, ids in zip(*(batch[c] for c in ("chunk", "words", "units", "code", "id")), strict=True):
-                words = unpack(planes)
-                at, codes = pairs_of(words if units is None else unpack(units), words, size)
+                words = spread_out(planes)
+                at, codes = pairs_of(words if units is None else spread_out(units), words, size)
                 order = np.argsort(keys)
                 keys = keys[order]
                 place = np.minimum(np.searchsorted(keys, codes), len(keys) - 1)
                 hit = keys[place] == codes
                 longer = np.full(len(words), -1, np.int64)
                 longer[at[hit]] = ids[order][place[hit]]
-                yield pd.DataFrame([{"chunk": chunk, "words": planes, "units": pack(longer)}])
+                longer, words = extendable(longer, words, size + 1)
+                yield pd.DataFrame([{"chunk": chunk, "words": squeeze(words), "units": squeeze(longer)}])
 
     return state.join(maps, "chunk").mapInPandas(number, _STATE)
 
